@@ -130,8 +130,8 @@ def fit_encoder(
     inputs = [f"_num{i}" for i in range(len(num))]
     if cat:
         raw, index, hot = ([f"{p}{i}" for i in range(len(cat))] for p in ("_cat", "_idx", "_hot"))
-        indexer = StringIndexerModel.from_arrays_of_labels([labels[c] for c in cat], raw, index, handleInvalid="keep")
-        stages.append(indexer)
+        # One stage per column: label arrays of unequal length are padded with nulls when passed together.
+        stages += [StringIndexerModel.from_labels(labels[c], r, i, handleInvalid="keep") for c, r, i in zip(cat, raw, index)]
         probe = PipelineModel(stages).transform(train)
         stages.append(OneHotEncoder(inputCols=index, outputCols=hot, dropLast=True).fit(probe))
         inputs += hot

@@ -18,7 +18,7 @@ from tabloom.operators.slices import leaderboard
 from tabloom.operators.split import join_split, only_split
 from tabloom.plans.models import JOB_CLASSIFIERS, ModelSpec, REPORT_REGRESSORS, Training, model_spec, predictions_table
 from tabloom.session import stash
-from tabloom.sources.documents import read_class_map, read_config, run_stamp, utc_now_iso
+from tabloom.sources.documents import CLASSES_FILE, read_class_map, read_config, run_stamp, utc_now_iso
 from tabloom.sources.runs import complete_runs, latest_model, latest_prepared, latest_run_per_model, load_model, metric_rows, write_inference, write_run
 from tabloom.sources.tables import clean_predictions, read_prepared, read_table
 
@@ -53,7 +53,7 @@ def train_classifier(spark: SparkSession, *, prepared_root: str, runs_root: str,
     """Fit one of the job classifiers on the newest prepared folder and save model, metrics, predictions and manifest."""
     folder = latest_prepared(spark, prepared_root)
     config = read_config(spark, config_path or f"{folder}/baseline_feature_config.json")
-    class_map_path = f"{folder}/attack_type_classes.json"
+    class_map_path = f"{folder}/{CLASSES_FILE}"
     classes = tuple(read_class_map(spark, class_map_path).first()["classes"])
     joined = join_split(read_prepared(spark, folder), read_table(spark, f"{folder}/split.csv"), row_id_col=config.row_id_col, label_col=config.target_col)
     features = stash(labelled_features(joined, config, classes))
@@ -96,7 +96,7 @@ def infer(
     model = load_model(spark, path)
     folder = latest_prepared(spark, prepared_root)
     config = read_config(spark, f"{folder}/baseline_feature_config.json")
-    classes = list(read_class_map(spark, f"{folder}/attack_type_classes.json").first()["classes"])
+    classes = list(read_class_map(spark, f"{folder}/{CLASSES_FILE}").first()["classes"])
     joined = join_split(read_prepared(spark, folder), read_table(spark, f"{folder}/split.csv"), row_id_col=config.row_id_col, label_col=config.target_col)
     rows = only_split(joined, split).drop("split")
     if limit is not None:

@@ -28,7 +28,9 @@ from tabloom.operators.pls import fit_pls
 from tabloom.operators.selection import select_features
 
 SEED = 42
+# Limits of Spark: deepest tree, and widest table solved by normal equations.
 SPARK_MAX_DEPTH = 30
+NORMAL_EQUATION_COLUMNS = 4096
 
 
 class Fitted(Protocol):
@@ -190,7 +192,7 @@ def fit_pca_logistic(df: DataFrame, c: Training, *, components: int = 50, max_it
 
 
 def fit_pls_one_vs_rest(df: DataFrame, c: Training, *, components: int = 10, max_iter: int = 2000, parallelism: int = 4) -> Fitted:
-    pls = fit_pls(df, label_col=c.label_col, classes=[str(i) for i in range(len(c.classes))], components=components, features_col=c.features_col)
+    pls = fit_pls(df, label_col=c.label_col, classes=[str(float(i)) for i in range(len(c.classes))], components=components, features_col=c.features_col)
     part = LogisticRegression(regParam=1.0 / max(df.count(), 1), standardization=False, maxIter=max_iter)
     model = OneVsRest(classifier=part, featuresCol="pls", labelCol=c.label_col, weightCol="weight", parallelism=parallelism).fit(_weighted(pls.transform(df), c, True))
     return Chain(pls, model)
@@ -243,9 +245,11 @@ def fit_linear(df: DataFrame, c: Training, *, l1: float = 0.0, l2: float = 0.0,
     """Least squares with penalties l1 * |w| + l2 / 2 * w^2 on the mean loss.
 
     Spark scales the label to unit variance before it applies the quadratic penalty, so that part is given in
-    units of the label's standard deviation.
+    units of the label's standard deviation: the population one where normal equations are solved, else the sample one.
     """
-    std = df.agg(F.stddev_samp(col(c.label_col))).first()[0] or 1.0
+    first = df.select(col(c.features_col)).first()
+    spread = F.stddev_pop if first is None or first[0].size <= NORMAL_EQUATION_COLUMNS else F.stddev_samp
+    std = df.agg(spread(col(c.label_col))).first()[0] or 1.0
     total = l1 + l2 * std
     return LinearRegression(
         **_base(c), regParam=total, elasticNetParam=l1 / total if total else 0.0, standardization=False, maxIter=max_iter, tol=1e-9, solver="auto"

@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tabloom.operators.features import FeatureConfig
 from tabloom.session import shared_dir
 
+# Fixed value: file name of the class map in a prepared folder.
+CLASSES_FILE = "attack_type_classes.json"
+
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
