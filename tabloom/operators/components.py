@@ -29,6 +29,8 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         moves = stash(hooked.groupBy("lab").agg(F.min("_new").alias("to")).filter(F.col("to") < F.col("lab")))
         if moves.isEmpty():
             return labels
+        # Follow chains of moves a few steps; the next stash ends the lineage.
+        steps = moves
         for _ in range(2):
-            moves = stash(_follow(moves.withColumn("node", F.col("lab")), "to", moves).drop("node"))
-        labels = stash(_follow(labels, "lab", moves))
+            steps = _follow(steps.withColumn("node", F.col("lab")), "to", moves).drop("node")
+        labels = stash(_follow(labels, "lab", steps))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabloom.operators.clean import col
 from tabloom.operators.ordered import running_totals
-from tabloom.session import shuffle_partitions, stash
+from tabloom.session import shuffle_partitions, small_side, stash
 
 
 def score_table(df: DataFrame, score: str, positive: Column, by: Sequence[str] = ()) -> DataFrame:
@@ -43,7 +43,7 @@ def cumulative(table: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     on = F.lit(True)
     for i, b in enumerate(by):
         on = col(b).eqNullSafe(F.col(f"_t{i}")) if i == 0 else on & col(b).eqNullSafe(F.col(f"_t{i}"))
-    return run.join(renamed, on).drop(*(f"_t{i}" for i in range(len(by))))
+    return run.join(small_side(renamed), on).drop(*(f"_t{i}" for i in range(len(by))))
 
 
 def _rate(top: Column, bottom: Column) -> Column:
@@ -119,7 +119,7 @@ def macro_roc(df: DataFrame, label: str, scores: Column, classes: Sequence[str],
     known = F.col("leave").isNotNull()
     left, right = F.struct("fpr", F.col("leave").alias("y")), F.struct("fpr", F.col("enter").alias("y"))
     edges = marked.filter(known).groupBy("class", "block").agg(F.max_by(left, "fpr").alias("tail"), F.min_by(right, "fpr").alias("head"))
-    every = spark.createDataFrame([(str(k), b) for k in classes for b in range(count)], "class string, block int")
+    every = spark.range(count).select(names.alias("class"), F.col("id").cast("int").alias("block"))
     along = Window.partitionBy("class").orderBy("block")
     carried = every.join(edges, ["class", "block"], "left").select(
         "class",

@@ -55,7 +55,9 @@ def _home_cell(pivots: np.ndarray):
     return home
 
 
-def _open_cells(pivots: np.ndarray, sizes: np.ndarray, reach: np.ndarray, k: int, radius: float | None):
+def _open_cells(pivots: np.ndarray, sizes: np.ndarray, reach: np.ndarray, k: int | None, radius: float | None):
+    """Cells that can hold one of the k nearest points, or any point within radius."""
+
     @F.pandas_udf("array<int>")
     def cells(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for vectors in parts:
@@ -63,12 +65,14 @@ def _open_cells(pivots: np.ndarray, sizes: np.ndarray, reach: np.ndarray, k: int
                 yield pd.Series([], dtype=object)
                 continue
             d = _pivot_distances(vectors, pivots)
-            far = d + reach
-            order = np.argsort(far, axis=1)
-            enough = np.cumsum(sizes[order], axis=1) >= k
-            place = np.where(enough.any(axis=1), enough.argmax(axis=1), 0)
-            bound = far[np.arange(len(d)), order[np.arange(len(d)), place]]
-            bound = np.where(enough.any(axis=1), bound, np.inf)
+            bound = np.full(len(d), np.inf)
+            if k is not None:
+                far = d + reach
+                order = np.argsort(far, axis=1)
+                enough = np.cumsum(sizes[order], axis=1) >= k
+                place = np.where(enough.any(axis=1), enough.argmax(axis=1), 0)
+                bound = far[np.arange(len(d)), order[np.arange(len(d)), place]]
+                bound = np.where(enough.any(axis=1), bound, np.inf)
             if radius is not None:
                 bound = np.minimum(bound, radius)
             slack = 1e-9 * (d + reach) + 1e-12
@@ -114,55 +118,67 @@ def _nearest_in_block(q: pd.DataFrame, p: pd.DataFrame, k: int, radius: float |
     return pd.concat(found, ignore_index=True)
 
 
-def nearest(
-    queries: DataFrame,
-    points: DataFrame,
-    *,
-    k: int,
-    query_id: str,
-    point_id: str,
-    query_vector: str,
-    point_vector: str | None = None,
-    radius: float | None = None,
-    skip_same_id: bool = False,
-    block_rows: int = BLOCK_ROWS,
-) -> DataFrame:
-    """(query_id, neighbour, distance, rank): the k nearest points per query, within radius when one is given."""
-    point_vector = point_vector or query_vector
-    q_type, p_type = queries.schema[query_id].dataType, points.schema[point_id].dataType
-    out_type = T.StructType([T.StructField(query_id, q_type), T.StructField("neighbour", p_type), T.StructField("distance", T.DoubleType()), T.StructField("rank", T.IntegerType())])
-    p = stash(points.select(col(point_id).alias("_pid"), as_array(points, point_vector).alias("_pv")))
-    q = queries.select(col(query_id).alias("_qid"), as_array(queries, query_vector).alias("_qv"))
+BLOCK_KEYS = ["cell", "chunk", "slice"]
+
+
+def _blocks(q: DataFrame, p: DataFrame, *, k: int | None, radius: float | None, block_rows: int) -> tuple[DataFrame, DataFrame] | None:
+    """Queries (_qid, _qv) and points (_pid, _pv) cut into block pairs that can hold neighbours; None without points."""
+    p = stash(p)
     n = p.count()
     if n == 0:
-        return queries.sparkSession.createDataFrame([], out_type)
+        return None
     m = max(1, min(MAX_PIVOTS, -(-n // block_rows)))
     chosen = p.orderBy(F.md5(F.col("_pid").cast("string")), "_pid").limit(m).select("_pv").collect()
     pivots = np.array([r["_pv"] for r in chosen], dtype=float)
-    homed = stash(p.withColumn("_h", _home_cell(pivots)("_pv")).select("_pid", "_pv", F.col("_h.cell").alias("cell"), F.col("_h.reach").alias("reach")))
+    homed = stash(p.withColumn("_h", _home_cell(pivots)("_pv")).select(*p.columns, F.col("_h.cell").alias("cell"), F.col("_h.reach").alias("reach")))
     sizes, reach = np.zeros(len(pivots), dtype=np.int64), np.zeros(len(pivots))
     for r in homed.groupBy("cell").agg(F.count("*").alias("n"), F.max("reach").alias("reach")).collect():
         sizes[r["cell"]], reach[r["cell"]] = r["n"], r["reach"]
-    wanted = k + 1 if skip_same_id else k
-    targets = stash(q.withColumn("_cells", _open_cells(pivots, sizes, reach, wanted, radius)("_qv")))
+    targets = stash(q.withColumn("_cells", _open_cells(pivots, sizes, reach, k, radius)("_qv")))
     asked = {r["cell"]: r["n"] for r in targets.select(F.explode("_cells").alias("cell")).groupBy("cell").agg(F.count("*").alias("n")).collect()}
     # One row per pivot: how many blocks its points and its queries are cut into.
-    plan = queries.sparkSession.createDataFrame(
+    plan = p.sparkSession.createDataFrame(
         [(c, -(-int(sizes[c]) // block_rows), -(-asked[c] // block_rows)) for c in asked], "cell int, chunks int, slices int"
     )
     p_blocks = (
-        homed.join(F.broadcast(plan), "cell")
+        homed.drop("reach")
+        .join(F.broadcast(plan), "cell")
         .withColumn("chunk", F.pmod(F.xxhash64("_pid"), F.col("chunks")).cast("int"))
         .withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
-        .select("cell", "chunk", "slice", "_pid", "_pv")
+        .select(*BLOCK_KEYS, *p.columns)
     )
     q_blocks = (
-        targets.select("_qid", "_qv", F.explode("_cells").alias("cell"))
+        targets.select(*q.columns, F.explode("_cells").alias("cell"))
         .join(F.broadcast(plan), "cell")
         .withColumn("slice", F.pmod(F.xxhash64("_qid"), F.col("slices")).cast("int"))
         .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .select("cell", "chunk", "slice", "_qid", "_qv")
+        .select(*BLOCK_KEYS, *q.columns)
     )
+    return q_blocks, p_blocks
+
+
+def nearest(
+    queries: DataFrame,
+    points: DataFrame,
+    *,
+    k: int,
+    query_id: str,
+    point_id: str,
+    query_vector: str,
+    point_vector: str | None = None,
+    radius: float | None = None,
+    skip_same_id: bool = False,
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """(query_id, neighbour, distance, rank): the k nearest points per query, within radius when one is given."""
+    point_vector = point_vector or query_vector
+    q_type, p_type = queries.schema[query_id].dataType, points.schema[point_id].dataType
+    out_type = T.StructType([T.StructField(query_id, q_type), T.StructField("neighbour", p_type), T.StructField("distance", T.DoubleType()), T.StructField("rank", T.IntegerType())])
+    p = points.select(col(point_id).alias("_pid"), as_array(points, point_vector).alias("_pv"))
+    q = queries.select(col(query_id).alias("_qid"), as_array(queries, query_vector).alias("_qv"))
+    blocks = _blocks(q, p, k=k + 1 if skip_same_id else k, radius=radius, block_rows=block_rows)
+    if blocks is None:
+        return queries.sparkSession.createDataFrame([], out_type)
     schema = T.StructType([T.StructField("_qid", q_type), T.StructField("_pid", p_type), T.StructField("distance", T.DoubleType())])
 
     def block(_, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -170,8 +186,7 @@ def nearest(
             return pd.DataFrame({"_qid": left["_qid"].iloc[:0], "_pid": right["_pid"].iloc[:0], "distance": np.empty(0)})
         return _nearest_in_block(left, right, k, radius, skip_same_id)
 
-    keys = ["cell", "chunk", "slice"]
-    best = q_blocks.groupBy(*keys).cogroup(p_blocks.groupBy(*keys)).applyInPandas(block, schema)
+    best = blocks[0].groupBy(*BLOCK_KEYS).cogroup(blocks[1].groupBy(*BLOCK_KEYS)).applyInPandas(block, schema)
     rank = F.row_number().over(Window.partitionBy("_qid").orderBy("distance", "_pid"))
     return (
         best.withColumn("rank", rank)
@@ -180,6 +195,94 @@ def nearest(
     )
 
 
+def _within(a: np.ndarray, b: np.ndarray, radius: float) -> np.ndarray:
+    """Which rows of b lie within radius of which rows of a; values near the border are measured exactly."""
+    a_norm, b_norm = (a**2).sum(axis=1), (b**2).sum(axis=1)
+    approx = a_norm[:, None] + b_norm[None, :] - 2.0 * (a @ b.T)
+    error = 1e-9 * (a_norm.max() + b_norm.max()) + 1e-300
+    near = approx <= radius * radius
+    i, j = np.nonzero(np.abs(approx - radius * radius) <= error)
+    for s in range(0, len(i), PAIR_SLICE):
+        u, v = i[s : s + PAIR_SLICE], j[s : s + PAIR_SLICE]
+        near[u, v] = ((a[u] - b[v]) ** 2).sum(axis=1) <= radius * radius
+    return near
+
+
+def count_within(table: DataFrame, *, radius: float, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(id, near) for a table of (id, v): rows within radius, the row itself included."""
+    blocks = _blocks(table.select(F.col("id").alias("_qid"), F.col("v").alias("_qv")), table.select(F.col("id").alias("_pid"), F.col("v").alias("_pv")), k=None, radius=radius, block_rows=block_rows)
+    schema = T.StructType([T.StructField("id", table.schema["id"].dataType), T.StructField("near", T.LongType())])
+    if blocks is None:
+        return table.sparkSession.createDataFrame([], schema)
+
+    def block(_, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if len(left) == 0 or len(right) == 0:
+            return pd.DataFrame({"id": left["_qid"].iloc[:0], "near": np.empty(0, np.int64)})
+        near = _within(np.stack(left["_qv"].to_numpy()), np.stack(right["_pv"].to_numpy()), radius)
+        return pd.DataFrame({"id": left["_qid"].to_numpy(), "near": near.sum(axis=1)})
+
+    counted = blocks[0].groupBy(*BLOCK_KEYS).cogroup(blocks[1].groupBy(*BLOCK_KEYS)).applyInPandas(block, schema)
+    return counted.groupBy("id").agg(F.sum("near").alias("near"))
+
+
+def _block_chains(q_ids: np.ndarray, p_ids: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links that keep every group of a block connected: each group as one chain in id order."""
+    ids, place = np.unique(np.concatenate([q_ids, p_ids]), return_inverse=True)
+    q_place, p_place = place[: len(q_ids)], place[len(q_ids) :]
+    label = np.arange(len(ids))
+    while True:
+        was = label.copy()
+        low = np.where(near, label[p_place][None, :], len(ids)).min(axis=1)
+        np.minimum.at(label, q_place, low)
+        low = np.where(near, label[q_place][:, None], len(ids)).min(axis=0)
+        np.minimum.at(label, p_place, low)
+        label = np.minimum(label, label[label])
+        if (label == was).all():
+            break
+    order = np.lexsort((np.arange(len(ids)), label))
+    linked = label[order][1:] == label[order][:-1]
+    return ids[order][:-1][linked], ids[order][1:][linked]
+
+
+def links_within(table: DataFrame, *, radius: float, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(u, v) links that connect exactly the rows joined by steps of at most radius; at most one chain per block."""
+    blocks = _blocks(table.select(F.col("id").alias("_qid"), F.col("v").alias("_qv")), table.select(F.col("id").alias("_pid"), F.col("v").alias("_pv")), k=None, radius=radius, block_rows=block_rows)
+    kind = table.schema["id"].dataType
+    schema = T.StructType([T.StructField("u", kind), T.StructField("v", kind)])
+    if blocks is None:
+        return table.sparkSession.createDataFrame([], schema)
+
+    def block(_, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if len(left) == 0 or len(right) == 0:
+            return pd.DataFrame({"u": left["_qid"].iloc[:0], "v": left["_qid"].iloc[:0]})
+        near = _within(np.stack(left["_qv"].to_numpy()), np.stack(right["_pv"].to_numpy()), radius)
+        u, v = _block_chains(left["_qid"].to_numpy(), right["_pid"].to_numpy(), near)
+        return pd.DataFrame({"u": u, "v": v})
+
+    return blocks[0].groupBy(*BLOCK_KEYS).cogroup(blocks[1].groupBy(*BLOCK_KEYS)).applyInPandas(block, schema).distinct()
+
+
+def smallest_within(queries: DataFrame, points: DataFrame, *, radius: float, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(id, number): smallest number of the points (id, v, number) within radius of each query (id, v) that has one."""
+    q = queries.select(F.col("id").alias("_qid"), F.col("v").alias("_qv"))
+    p = points.select(F.col("id").alias("_pid"), F.col("v").alias("_pv"), F.col("number").cast("bigint").alias("_number"))
+    blocks = _blocks(q, p, k=None, radius=radius, block_rows=block_rows)
+    schema = T.StructType([T.StructField("id", queries.schema["id"].dataType), T.StructField("number", T.LongType())])
+    if blocks is None:
+        return queries.sparkSession.createDataFrame([], schema)
+
+    def block(_, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if len(left) == 0 or len(right) == 0:
+            return pd.DataFrame({"id": left["_qid"].iloc[:0], "number": np.empty(0, np.int64)})
+        near = _within(np.stack(left["_qv"].to_numpy()), np.stack(right["_pv"].to_numpy()), radius)
+        number = right["_number"].to_numpy()
+        low = np.where(near, number[None, :], np.iinfo(np.int64).max).min(axis=1)
+        hit = near.any(axis=1)
+        return pd.DataFrame({"id": left["_qid"].to_numpy()[hit], "number": low[hit]})
+
+    return blocks[0].groupBy(*BLOCK_KEYS).cogroup(blocks[1].groupBy(*BLOCK_KEYS)).applyInPandas(block, schema).groupBy("id").agg(F.min("number").alias("number"))
+
+
 def vote(neighbours: DataFrame, labels: DataFrame, *, query_id: str, point_id: str, label: str) -> DataFrame:
     """Majority label of the neighbours; ties go to the smallest label."""
     named = neighbours.join(labels.select(col(point_id).alias("neighbour"), col(label).alias("y_pred")), "neighbour")

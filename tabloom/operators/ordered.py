@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tabloom.session import shuffle_partitions, stash
+from tabloom.session import shuffle_partitions, small_side, stash
 
 POSITION_BITS = 33
 
@@ -84,7 +84,7 @@ def running_totals(
     on = F.col("_block") == F.col("_b")
     for i, g in enumerate(group):
         on = on & g.eqNullSafe(F.col(f"_g{i}"))
-    joined = frozen.withColumns(summed).join(edges, on, "inner")
+    joined = frozen.withColumns(summed).join(small_side(edges), on, "inner")
     final = {n: F.col(n) + F.col(f"_off_{n}") for n in totals}
     final |= {f"next_{c}": F.when(F.col("_last"), F.col(f"_after_{c}")).otherwise(F.col(f"next_{c}")) for c in carry_next}
     keep = [*_quoted(df.columns), *(F.col(n) for n in final)]

@@ -21,9 +21,20 @@ def value_counts(df: DataFrame, key: str, *, missing: str | None = "Unknown") ->
 
 
 def with_share(counts: DataFrame, by: Sequence[str] = (), *, value: str = "count", name: str = "share") -> DataFrame:
-    """Each count as a share of its group's total; a group total of 0 gives 0."""
-    total = F.sum(value).over(Window.partitionBy(*map(col, by)))
-    return counts.withColumn(name, col(value) / F.when(total == 0, 1).otherwise(total))
+    """Each count as a share of its group's total; a group total of 0 gives 0.
+
+    Totals are aggregated and joined back, so a group with many values is never gathered in one task.
+    """
+    whole = F.col("_total")
+    share = col(value) / F.when(whole == 0, 1).otherwise(whole)
+    if not by:
+        total = counts.agg(F.sum(value)).scalar()
+        return counts.withColumn("_total", total).withColumn(name, share).drop("_total")
+    totals = counts.groupBy(*(col(b).alias(f"_by{i}") for i, b in enumerate(by))).agg(F.sum(value).alias("_total"))
+    on = col(by[0]).eqNullSafe(F.col("_by0"))
+    for i, b in enumerate(by[1:], 1):
+        on = on & col(b).eqNullSafe(F.col(f"_by{i}"))
+    return counts.join(totals, on).withColumn(name, share).drop("_total", *(f"_by{i}" for i in range(len(by))))
 
 
 def column_values(df: DataFrame, key: str) -> list:

@@ -21,11 +21,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tabloom.functions.labels import decode_label
 from tabloom.operators.clean import col
-from tabloom.operators.dbscan import assign_clusters, dbscan
+from tabloom.operators.dbscan import assign_clusters, dbscan, dbscan_vectors
 from tabloom.operators.encode import fit_pca, with_balanced_weights
 from tabloom.operators.neighbours import nearest, neighbour_mean, vote
 from tabloom.operators.pls import fit_pls
 from tabloom.operators.selection import select_features
+from tabloom.session import stash
 
 SEED = 42
 # Limits of Spark: deepest tree, and widest table solved by normal equations.
@@ -233,12 +234,17 @@ class DensityClusters:
 
     def transform(self, df: DataFrame) -> DataFrame:
         c = self.context
-        found = assign_clusters(df, self.fitted, self.train, id_col=c.id_col, dims=c.dims, eps=self.eps)
+        found = assign_clusters(df, self.fitted, self.train, id_col=c.id_col, dims=c.dims, vector=c.features_col, eps=self.eps)
         return df.join(found.withColumnRenamed("cluster", "prediction"), c.id_col)
 
 
 def fit_dbscan(df: DataFrame, c: Training, *, eps: float = 0.5, min_points: int = 10) -> DensityClusters:
-    return DensityClusters(df, dbscan(df, id_col=c.id_col, dims=c.dims, eps=eps, min_points=min_points), c, eps)
+    """On the grid when the context names a few columns, else on the feature vectors."""
+    if c.dims:
+        found = dbscan(df, id_col=c.id_col, dims=c.dims, eps=eps, min_points=min_points)
+    else:
+        found = dbscan_vectors(df, id_col=c.id_col, vector=c.features_col, eps=eps, min_points=min_points)
+    return DensityClusters(df, stash(found), c, eps)
 
 
 def fit_linear(df: DataFrame, c: Training, *, l1: float = 0.0, l2: float = 0.0, max_iter: int = 1000) -> Fitted:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def build_session(app: str = "tabloom", *, master: str | None = None, **conf: str) -> SparkSession:
@@ -36,13 +36,31 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+BROADCAST_ROWS = 100_000
+_written: list[str] = []
+
+
 def stash(df: DataFrame) -> DataFrame:
     """Write df to the shared folder and read it back, so its lineage ends and its rows are frozen."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tabloom-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_stashes(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this session; call it once all results are saved."""
+    while _written:
+        target = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A narrow table for the other side of a join: broadcast when it is counted to be small, else shuffled as usual."""
+    kept = stash(df)
+    return F.broadcast(kept) if kept.count() <= rows else kept
+
+
 def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

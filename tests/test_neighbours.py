@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tabloom.operators import neighbours as nb
 from tabloom.operators.components import connected_components
-from tabloom.operators.dbscan import assign_clusters, dbscan
+from tabloom.operators.dbscan import assign_clusters, dbscan, dbscan_vectors
+from tabloom.plans.models import CLUSTERERS, Training, model_spec
 
 
 def with_copies(n=300, d=4, seed=0):
@@ -115,3 +116,25 @@ def test_components_of_a_long_chain_and_a_star(spark):
     labels = {r["node"]: r["lab"] for r in out.collect()}
     assert all(labels[i] == 0 for i in range(41)) and all(labels[i] == 100 for i in range(100, 130)) and labels[500] == 500
     assert out.filter(F.col("lab") > F.col("node")).count() == 0
+
+
+@pytest.mark.parametrize("block_rows", [40, 2048])
+def test_dbscan_on_wide_vectors(spark, block_rows):
+    """One-hot columns beside scaled numbers, with a third of the rows equal."""
+    rng = np.random.default_rng(8)
+    n = 240
+    hot = np.eye(4)[rng.integers(0, 4, n)]
+    x = np.hstack([hot, rng.normal(0, 0.35, (n, 2)), np.zeros((n, 1))])
+    x[: n // 3] = x[0]
+    df = spark.createDataFrame(pd.DataFrame({"id": np.arange(n), "v": list(x)}))
+    got = dbscan_vectors(df, id_col="id", vector="v", eps=0.25, min_points=4, block_rows=block_rows).toPandas().sort_values("id")
+    label, core = plain_dbscan(x, 0.25, 4)
+    assert label.max() > 2
+    assert (got["cluster"].to_numpy() == label).all() and (got["core"].to_numpy() == core).all()
+
+
+def test_density_model_labels_new_rows(spark):
+    train = spark.createDataFrame([(i, [0.0, 0.1 * i, 0.0, 0.0, 1.0]) for i in range(6)], "row_id int, features array<double>")
+    new = spark.createDataFrame([(7, [0.0, 0.0, 0.0, 0.2, 1.0]), (8, [3.0, 0.0, 0.0, 0.0, 1.0])], "row_id int, features array<double>")
+    model = model_spec("dbscan", CLUSTERERS).train(train, Training(), min_points=3)
+    assert {r["row_id"]: r["prediction"] for r in model.transform(new).collect()} == {7: 0, 8: -1}
