@@ -227,7 +227,8 @@ KNOWN = ["click", "error", "purchase", "signup"]
 @registry.add(
     "label_codes",
     """SELECT event_id, (nullif(list_position(['click', 'error', 'purchase', 'signup'], event_type), 0) - 1)::DOUBLE AS code,
-coalesce(['click', 'error', 'purchase', 'signup'][CAST(json_extract_string(props, '$.k') AS INT) - 1], '') AS name FROM events""",
+CASE WHEN k BETWEEN 2 AND 5 THEN ['click', 'error', 'purchase', 'signup'][k - 1] ELSE '' END AS name
+FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events)""",
 )
 def label_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = F.get_json_object("props", "$.k").cast("int") - 2

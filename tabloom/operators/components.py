@@ -1,4 +1,4 @@
-"""Connected components of a graph of bounded degree."""
+"""Connected components by label hooking and pointer doubling."""
 
 from __future__ import annotations
 
@@ -10,12 +10,25 @@ LABEL_SALTS = 16
 
 
 def _follow(table: DataFrame, key: str, mapping: DataFrame) -> DataFrame:
-    """Replace key by mapping(lab -> to). Labels get hot as components grow, so both sides are salted."""
+    """Replace key by mapping(lab -> to); _open tells whether it was mapped.
+
+    Labels get hot as components grow, so both sides are salted.
+    """
     salts = F.explode(F.sequence(F.lit(0), F.lit(LABEL_SALTS - 1)))
     spread = mapping.select(F.col("lab").alias("_from"), F.col("to").alias("_to"), salts.alias("_s2"))
     salted = table.withColumn("_s1", F.pmod(F.xxhash64("node"), F.lit(LABEL_SALTS)).cast("int"))
     on = (F.col(key) == F.col("_from")) & (F.col("_s1") == F.col("_s2"))
-    return salted.join(spread, on, "left").withColumn(key, F.coalesce("_to", F.col(key))).drop("_s1", "_s2", "_from", "_to")
+    joined = salted.join(spread, on, "left").withColumns({"_open": F.col("_to").isNotNull(), key: F.coalesce("_to", F.col(key))})
+    return joined.drop("_s1", "_s2", "_from", "_to")
+
+
+def _to_the_end(moves: DataFrame) -> DataFrame:
+    """Follow chains of moves to their last label; the reach doubles with every step."""
+    while True:
+        step = stash(_follow(moves.withColumn("node", F.col("lab")), "to", moves).drop("node"))
+        if step.filter("_open").isEmpty():
+            return moves
+        moves = step.drop("_open")
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -29,8 +42,4 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         moves = stash(hooked.groupBy("lab").agg(F.min("_new").alias("to")).filter(F.col("to") < F.col("lab")))
         if moves.isEmpty():
             return labels
-        # Follow chains of moves a few steps; the next stash ends the lineage.
-        steps = moves
-        for _ in range(2):
-            steps = _follow(steps.withColumn("node", F.col("lab")), "to", moves).drop("node")
-        labels = stash(_follow(labels, "lab", steps))
+        labels = stash(_follow(labels, "lab", _to_the_end(moves)).drop("_open"))

@@ -1,8 +1,8 @@
 """Exact quantiles with linear interpolation, for groups of any size.
 
-Small groups use the built-in percentile aggregate, whose buffer holds every distinct value of a group. Larger
-groups are narrowed first: an approximate sketch gives a value bracket around each wanted rank, exact counts check
-the bracket, and only rows strictly inside it are kept, until few enough remain.
+Values are counted per distinct value and ranked by a running count, one task per group. Groups too large for that
+are narrowed first: an approximate sketch gives a value bracket around each wanted rank, exact counts check the
+bracket, and only rows strictly inside it are kept, until few enough remain.
 """
 
 from __future__ import annotations
@@ -11,9 +11,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tabloom.session import stash
+from tabloom.session import small_side, stash
 
-BUFFERED_VALUES = 1_000_000
+TASK_VALUES = 5_000_000
 SKETCH_ACCURACY = 10_000
 
 
@@ -27,18 +27,36 @@ def long_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> D
     return df.select(*(_name(b) for b in by), F.inline(pairs)).filter(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
-def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (), *, buffered_values: int = BUFFERED_VALUES) -> DataFrame:
+def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (), *, task_values: int = TASK_VALUES) -> DataFrame:
     """Columns: by..., column, n, q (array in the order of probs)."""
     group = [*by, "column"]
     values = long_values(df, cols, by)
     sizes = stash(values.groupBy(*group).agg(F.count("*").alias("n")))
-    wanted = F.array(*(F.lit(float(p)) for p in probs))
     largest = sizes.agg(F.max("n")).first()[0] or 0
-    if largest <= buffered_values:
-        return values.groupBy(*group).agg(F.count("*").alias("n"), F.percentile("value", wanted).alias("q"))
-    small = _same_group(values, sizes.filter(F.col("n") <= buffered_values), group)
-    direct = small.groupBy(*group).agg(F.count("*").alias("n"), F.percentile("value", wanted).alias("q"))
-    return direct.unionByName(_narrowed(values, sizes.filter(F.col("n") > buffered_values), group, probs, buffered_values))
+    if largest <= task_values:
+        return _ranked(values, sizes, group, probs)
+    small = sizes.filter(F.col("n") <= task_values)
+    return _ranked(_same_group(values, small, group).drop("n"), small, group, probs).unionByName(_narrowed(values, sizes.filter(F.col("n") > task_values), group, probs, task_values))
+
+
+def _interpolated(pos: Column, low: Column, high: Column) -> Column:
+    mixed = (F.ceil(pos) - pos) * low + (pos - F.floor(pos)) * high
+    return F.when(low == high, low).otherwise(mixed)
+
+
+def _ranked(values: DataFrame, sizes: DataFrame, group: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Quantiles from the running count over distinct values; sizes holds the rows n of each group."""
+    inside = Window.partitionBy(*map(_name, group)).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    counts = values.groupBy(*map(_name, group), "value").agg(F.count("*").alias("_c"))
+    ranked = _same_group(counts.withColumn("_upto", F.sum("_c").over(inside)), small_side(sizes), group)
+    wanted = []
+    for i, p in enumerate(probs):
+        pos = F.lit(float(p)) * (F.col("n") - 1)
+        for part, rank in (("l", F.floor(pos)), ("h", F.ceil(pos))):
+            wanted.append(F.max(F.when((rank < F.col("_upto")) & (rank >= F.col("_upto") - F.col("_c")), F.col("value"))).alias(f"_{part}{i}"))
+    picked = ranked.groupBy(*map(_name, group)).agg(F.first("n").alias("n"), *wanted)
+    q = [_interpolated(F.lit(float(p)) * (F.col("n") - 1), F.col(f"_l{i}"), F.col(f"_h{i}")) for i, p in enumerate(probs)]
+    return picked.select(*map(_name, group), "n", F.array(*q).alias("q"))
 
 
 def _same_group(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -66,8 +84,7 @@ def _narrowed(values: DataFrame, sizes: DataFrame, group: Sequence[str], probs:
     both = _same_group(
         _same_group(slots.withColumns({"_lo": F.floor("pos"), "_hi": F.ceil("pos")}), low, [*group, "_lo"]), high, [*group, "_hi"]
     )
-    mixed = (F.col("_hi") - F.col("pos")) * F.col("_vlo") + (F.col("pos") - F.col("_lo")) * F.col("_vhi")
-    filled = both.withColumn("v", F.when(F.col("_vlo") == F.col("_vhi"), F.col("_vlo")).otherwise(mixed))
+    filled = both.withColumn("v", _interpolated(F.col("pos"), F.col("_vlo"), F.col("_vhi")))
     packed = F.transform(F.array_sort(F.collect_list(F.struct("slot", "v"))), lambda s: s["v"])
     return filled.groupBy(*group).agg(F.max("n").alias("n"), packed.alias("q"))
 

@@ -51,7 +51,7 @@ PROBS = [0.0, 0.01, 0.25, 0.5, 0.77, 0.95, 1.0]
 @pytest.mark.parametrize("limit", [10, 100, 1_000_000])
 def test_quantiles_with_a_hot_value(skewed, limit):
     pdf, df = skewed
-    rows = quantiles.quantiles(df, ["v", "w"], PROBS, ["g"], buffered_values=limit).collect()
+    rows = quantiles.quantiles(df, ["v", "w"], PROBS, ["g"], task_values=limit).collect()
     assert len(rows) == 6
     for r in rows:
         values = pdf.loc[pdf["g"] == r["g"], r["column"]].to_numpy()
@@ -62,13 +62,13 @@ def test_quantiles_with_a_hot_value(skewed, limit):
 def test_quantiles_of_constant_null_and_empty_columns(spark):
     df = spark.createDataFrame([(2.0, None), (2.0, None), (2.0, None)], "a double, b double")
     for limit in (1, 100):
-        rows = quantiles.quantiles(df, ["a", "b"], [0.1, 0.5], buffered_values=limit).collect()
+        rows = quantiles.quantiles(df, ["a", "b"], [0.1, 0.5], task_values=limit).collect()
         assert [(r["column"], r["q"]) for r in rows] == [("a", [2.0, 2.0])]
     assert quantiles.quantiles(df.limit(0), ["a"], [0.5]).count() == 0
 
 
 def test_describe_uses_exact_quartiles(skewed):
     pdf, df = skewed
-    small = {r["column"]: r for r in profile.describe_numeric(df, ["v"], buffered_values=50).collect()}["v"]
+    small = {r["column"]: r for r in profile.describe_numeric(df, ["v"], task_values=50).collect()}["v"]
     want = pdf["v"].describe()
     assert np.allclose([small[k] for k in ("count", "mean", "std", "min", "p25", "p50", "p75", "max")], want.to_numpy())
