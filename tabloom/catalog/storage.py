@@ -58,9 +58,9 @@ def class_map_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = [r["class"] for r in class_index(df, "event_type").orderBy("index").collect()]
     path = f"{documents.fresh_dir(spark)}/classes.json"
     documents.write_document(spark, path, documents.class_map_document("event_type", classes))
-    # One small document row.
-    mapping = documents.read_class_map(spark, path).select("target", "class_to_index")
-    return df.select("event_id", "event_type").join(F.broadcast(mapping)).select("event_id", "target", F.element_at("class_to_index", F.col("event_type")).alias("index"))
+    mapping = documents.read_class_map(spark, path)
+    target, index = mapping.select("target").scalar(), mapping.select("class_to_index").scalar()
+    return df.select("event_id", target.alias("target"), F.element_at(index, F.col("event_type")).alias("index"))
 
 
 @registry.add(

@@ -15,7 +15,7 @@ SPLITS = ("train", "val", "test")
 
 @dataclass(frozen=True)
 class TimeCuts:
-    """Last time of train and of val, as text, with the row targets they were derived from."""
+    """Last time of train and of val in text form, with the row targets they were derived from."""
 
     rows: int
     train_target: int
@@ -24,8 +24,24 @@ class TimeCuts:
     val_last: str | None
 
 
+def _as_text(df: DataFrame, time_col: str, c: Column) -> Column:
+    """Instants as microseconds, so no session time zone can blur them; other times as they print."""
+    return F.unix_micros(c).cast("string") if isinstance(df.schema[time_col].dataType, T.TimestampType) else c.cast("string")
+
+
 def _at(df: DataFrame, time_col: str, value: str) -> Column:
-    return F.lit(value).cast(df.schema[time_col].dataType)
+    kind = df.schema[time_col].dataType
+    return F.timestamp_micros(F.lit(int(value))) if isinstance(kind, T.TimestampType) else F.lit(value).cast(kind)
+
+
+def _day_and_second(df: DataFrame, time_col: str) -> tuple[Column, Column]:
+    """Calendar units that grow with the time; instants are counted from the epoch."""
+    t = col(time_col)
+    if isinstance(df.schema[time_col].dataType, T.TimestampType):
+        return F.floor(F.unix_seconds(t) / 86400), F.unix_seconds(t)
+    if isinstance(df.schema[time_col].dataType, T.DateType):
+        return t, t
+    return F.to_date(t), F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
 
 
 def _between(df: DataFrame, time_col: str, low: str, high: str) -> Column:
@@ -44,11 +60,11 @@ def _last_start_before(df: DataFrame, time_col: str, target: int, days: DataFram
     the days of the table, then 86,400 seconds, then a million microseconds.
     """
     t = col(time_col)
-    seconds = F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
+    seconds = _day_and_second(df, time_col)[1]
     counts, base, part = days, 0, df
     for unit in (seconds, t, None):
         before = F.sum("n").over(Window.orderBy("u")) - F.col("n") + F.lit(base)
-        item = F.struct(F.col("lo").cast("string"), F.col("hi").cast("string"), F.col("before"))
+        item = F.struct(_as_text(df, time_col, F.col("lo")), _as_text(df, time_col, F.col("hi")), F.col("before"))
         early = F.max_by(item, F.when(F.col("before") < target, F.col("u")))
         first = F.min_by(item, F.col("u"))
         low, high, base = counts.withColumn("before", before).agg(F.coalesce(early, first)).first()[0]
@@ -62,19 +78,20 @@ def _last_start_before(df: DataFrame, time_col: str, target: int, days: DataFram
 def time_cuts(df: DataFrame, time_col: str, *, train: float = 0.7, val: float = 0.15, test: float = 0.15) -> TimeCuts:
     check_fractions(train, val, test)
     times = df.select(col(time_col))
-    days = stash(_unit_counts(times, time_col, F.to_date(col(time_col))))
+    days = stash(_unit_counts(times, time_col, _day_and_second(df, time_col)[0]))
     n = days.agg(F.sum("n")).first()[0] or 0
     train_target, val_target = int(n * train), int(n * (train + val))
     if n == 0:
         return TimeCuts(0, 0, 0, None, None)
     train_last = _last_start_before(times, time_col, train_target, days)
     after = times.filter(col(time_col) > _at(df, time_col, train_last))
-    next_time = after.agg(F.min(col(time_col)).cast("string")).first()[0]
+    next_time = after.agg(_as_text(df, time_col, F.min(col(time_col)))).first()[0]
     if next_time is None:
         return TimeCuts(n, train_target, val_target, train_last, None)
     late = _last_start_before(times, time_col, val_target, days)
     # The group after train is always val, also when val's target was already reached.
-    val_last = times.select(F.greatest(_at(df, time_col, late), _at(df, time_col, next_time)).cast("string")).first()[0]
+    later = F.greatest(_at(df, time_col, late), _at(df, time_col, next_time))
+    val_last = df.sparkSession.range(1).select(_as_text(df, time_col, later)).first()[0]
     return TimeCuts(n, train_target, val_target, train_last, val_last)
 
 

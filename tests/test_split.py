@@ -109,3 +109,22 @@ def test_fixed_sample(spark):
     df = spark.range(100)
     assert split.fixed_sample(df, 10, id_col="id").count() == 10
     assert split.fixed_sample(df, 1000, id_col="id").count() == 100
+
+
+def test_instants_on_a_day_with_a_repeated_hour(spark):
+    """Clocks went back in New York on 2024-11-03; the split follows the instants, not the local times."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        start = 1730610000  # 2024-11-03 05:00 UTC, inside the first pass of the repeated hour
+        df = spark.range(8).selectExpr("id AS row_id", f"timestamp_seconds({start} + id * 1800) AS t")
+        rows, _ = split.time_split(df, time_col="t", train=0.5, val=0.25, test=0.25)
+        assert [r["split"] for r in rows.orderBy("row_id").collect()] == ["train"] * 4 + ["val"] * 2 + ["test"] * 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_dates(spark):
+    df = spark.range(10).selectExpr("id AS row_id", "date_add(date'2024-01-01', cast(id / 2 AS int)) AS d")
+    rows, _ = split.time_split(df, time_col="d", train=0.6, val=0.2, test=0.2)
+    assert [r["split"] for r in rows.orderBy("row_id").collect()] == ["train"] * 6 + ["val"] * 2 + ["test"] * 2
