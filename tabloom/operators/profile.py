@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tabloom.operators.clean import col, numeric_and_categorical
 from tabloom.operators.quantiles import long_values, quantiles
+from tabloom.session import small_side
 
 LONG_VALUE = 64
 
@@ -231,31 +232,47 @@ def correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return row.select(F.inline(F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"c{i}").alias("r")) for a, b, i in cells))))
 
 
+def _widened(low: Column, high: Column) -> tuple[Column, Column]:
+    """A single value gets a range of one unit around it."""
+    flat = low == high
+    return F.when(flat, low - 0.5).otherwise(low), F.when(flat, high + 0.5).otherwise(high)
+
+
 def histogram(df: DataFrame, value: str, *, bins: int = 50, by: Sequence[str] = ()) -> DataFrame:
     """Equal-width bins over each group's own range; the last bin is closed. Empty bins are listed with 0."""
-    v = col(value).cast("double")
-    group = [col(b).alias(f"_by{i}") for i, b in enumerate(by)]
     keys = [f"_by{i}" for i in range(len(by))]
-    rows = df.select(*group, v.alias("_v")).filter(F.col("_v").isNotNull())
-    spans = rows.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi")).withColumn("_one", F.lit(1))
-    # A single value gets a range of one unit around it.
-    flat = F.col("_lo") == F.col("_hi")
-    spans = spans.withColumns({"_lo": F.when(flat, F.col("_lo") - 0.5).otherwise(F.col("_lo")), "_hi": F.when(flat, F.col("_hi") + 0.5).otherwise(F.col("_hi"))})
-    width = (F.col("_hi") - F.col("_lo")) / bins
-    place = F.least(F.floor((F.col("_v") - F.col("_lo")) / width), F.lit(bins - 1)).cast("int")
-    on = ["_one", *keys]
-    spread = rows.withColumn("_one", F.lit(1)).join(F.broadcast(spans) if not by else spans, on)
-    counted = spread.groupBy(*on, place.alias("bin")).agg(F.count("*").alias("count"))
+    rows = df.select(*(col(b).alias(k) for b, k in zip(by, keys)), col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    spans = rows.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi")).filter(F.col("_lo").isNotNull())
+    lo, hi = F.col("_lo"), F.col("_hi")
+    spans = small_side(spans.withColumns(dict(zip(("_lo", "_hi"), _widened(lo, hi)))))
+    width = (hi - lo) / bins
+    place = F.least(F.floor((F.col("_v") - lo) / width), F.lit(bins - 1)).cast("int")
+    if by:
+        spread = _match(rows, spans, keys)
+    else:
+        # The one range of the table becomes two constants.
+        ends = spans.first() or (None, None)
+        spread = rows.withColumns({n: F.lit(v).cast("double") for n, v in zip(("_lo", "_hi"), ends)})
+    counted = spread.groupBy(*keys, place.alias("bin")).agg(F.count("*").alias("_n"))
     full = spans.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-    return full.join(counted, [*on, "bin"], "left").select(
+    return _match(full, counted, [*keys, "bin"], "left").select(
         *(F.col(k).alias(b) for k, b in zip(keys, by)),
         "bin",
-        (F.col("_lo") + F.col("bin") * width).alias("left"),
-        (F.col("_lo") + (F.col("bin") + 1) * width).alias("right"),
-        F.coalesce("count", F.lit(0)).cast("bigint").alias("count"),
+        (lo + F.col("bin") * width).alias("left"),
+        (lo + (F.col("bin") + 1) * width).alias("right"),
+        F.coalesce("_n", F.lit(0)).cast("bigint").alias("count"),
     )
 
 
+def _match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on null-safe keys, keeping the left ones."""
+    other = right.withColumnsRenamed({k: f"_m{i}" for i, k in enumerate(keys)})
+    on = F.col(keys[0]).eqNullSafe(F.col("_m0"))
+    for i, k in enumerate(keys[1:], 1):
+        on = on & F.col(k).eqNullSafe(F.col(f"_m{i}"))
+    return left.join(other, on, how).drop(*(f"_m{i}" for i in range(len(keys))))
+
+
 def box_stats(df: DataFrame, category: str, value: str, *, top_k: int = 8, **options: int) -> DataFrame:
     """Quartiles and whisker ends (furthest values within 1.5 IQR) for the most frequent categories."""
     from tabloom.operators.slices import top_values

@@ -110,3 +110,10 @@ def test_audit_of_empty_and_all_null_columns(spark):
 def test_histogram_of_one_value(spark):
     rows = histogram(spark.createDataFrame([(2.0,), (2.0,), (None,)], "v double"), "v", bins=4).orderBy("bin").collect()
     assert [r["count"] for r in rows] == [0, 0, 2, 0] and rows[0]["left"] == 1.5 and rows[3]["right"] == 2.5
+
+
+def test_histogram_of_groups_with_a_null_group(spark):
+    df = spark.createDataFrame([("a", 0.0), ("a", 4.0), (None, 1.0), (None, 2.0), ("b", None)], "g string, v double")
+    rows = histogram(df, "v", bins=2, by=["g"]).collect()
+    assert sorted((str(r["g"]), r["bin"], r["left"], r["count"]) for r in rows) == [("None", 0, 1.0, 1), ("None", 1, 1.5, 1), ("a", 0, 0.0, 1), ("a", 1, 2.0, 1)]
+    assert histogram(df.filter("v > 9"), "v", bins=2).count() == 0
