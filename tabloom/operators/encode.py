@@ -157,10 +157,9 @@ def balanced_weights(df: DataFrame, label: str) -> DataFrame:
 
 def with_balanced_weights(df: DataFrame, label: str, *, name: str = "weight") -> DataFrame:
     """The weights of the few classes are folded into the plan, so no row is shuffled."""
-    cases = F.lit(None).cast("double")
-    for r in balanced_weights(df, label).collect():
-        cases = F.when(col(label) == F.lit(r[0]), F.lit(r["weight"])).otherwise(cases)
-    return df.withColumn(name, cases)
+    pairs = [F.lit(v) for r in balanced_weights(df, label).collect() for v in (r[0], r["weight"])]
+    weight = F.element_at(F.create_map(*pairs), col(label)) if pairs else F.lit(None)
+    return df.withColumn(name, weight.cast("double"))
 
 
 @dataclass(frozen=True)

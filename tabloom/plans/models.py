@@ -19,7 +19,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabloom.functions.labels import decode_label
+from tabloom.functions.labels import decode_label, l2_norm, mean_abs
 from tabloom.operators.clean import col
 from tabloom.operators.dbscan import assign_clusters, dbscan, dbscan_vectors
 from tabloom.operators.encode import fit_pca, with_balanced_weights
@@ -353,8 +353,6 @@ def predictions_table(scored: DataFrame, *, row_id_col: str, classes: Sequence[s
 
 def coefficient_table(df: DataFrame, names: Sequence[str], matrix: Sequence[Sequence[float]]) -> DataFrame:
     """(feature, mean_abs, l2, non_zero): strength of each feature over the classes' coefficients."""
-    from tabloom.functions.labels import l2_norm, mean_abs
-
     rows = [(n, [float(r[i]) for r in matrix]) for i, n in enumerate(names)]
     table = df.sparkSession.createDataFrame(rows, "feature string, coefficients array<double>")
     non_zero = F.size(F.filter("coefficients", lambda x: x != 0))
