@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tabloom.catalog import Registry, load
-from tabloom.llm import fingerprints, licenses, shards
+from tabloom.llm import bpe, fingerprints, language, licenses, shards, token_files
 
 registry = Registry()
 
@@ -15,11 +16,27 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(load(spark, sf_dir, "documents"))
 
 
+@registry.add("op3_language_id")
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predict_languages(load(spark, sf_dir, "documents"))
+
+
+@registry.add("op4_token_files")
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.index_documents(load(spark, sf_dir, "documents"), path=public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @registry.add("op5_license_scan")
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(load(spark, sf_dir, "documents"))
 
 
+@registry.add("op6_byte_bpe")
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe.encode_documents(load(spark, sf_dir, "documents"), path=public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), pattern=public_tokenizers.PATTERN)
+    return bpe.token_digests(encoded)
+
+
 @registry.add("op7_kd_shards")
 def op7_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_documents(load(spark, sf_dir, "documents"))
