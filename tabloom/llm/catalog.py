@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tabloom.catalog import Registry, load
-from tabloom.llm import bpe, fingerprints, language, licenses, shards, token_files
+from tabloom.llm import bpe, fingerprints, language, licenses, main_text, mixing, shards, token_files, vectors
 
 registry = Registry()
 
@@ -40,3 +40,18 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registry.add("op7_kd_shards")
 def op7_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_documents(load(spark, sf_dir, "documents"))
+
+
+@registry.add("op8_mix")
+def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_documents(load(spark, sf_dir, "documents"))
+
+
+@registry.add("op9_main_text")
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract_pages(load(spark, sf_dir, "pages"))
+
+
+@registry.add("op10_near_vectors")
+def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.link_vectors(load(spark, sf_dir, "embeddings"))

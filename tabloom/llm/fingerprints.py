@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tabloom.llm.native import BLOCK_ROWS, WHITE_SPACE, bound_once, whole
+from tabloom.llm.native import WHITE_SPACE, bound_once, id_blocks, whole
 
 SHINGLE_WORDS = 5
 SKETCH_SIZE = 128
@@ -79,25 +79,14 @@ def as_text(s: Column) -> Column:
     return F.array_join(F.transform(s, lambda h: F.lower(F.hex(h))), ",")
 
 
-def block_cuts(df: DataFrame, id_col: str, block_rows: int) -> tuple[list[int], int]:
-    """Ids at which blocks of about so many rows end; one row reaches the driver."""
-    rows = df.count()
-    blocks = max(24, rows // block_rows + 1)
-    cuts = df.agg(F.percentile_approx(id_col, [k / blocks for k in range(1, blocks)], 100 * blocks).alias("c")).first()["c"] or []
-    return sorted(set(cuts)), rows
-
-
 def with_next(df: DataFrame, id_col: str, tie: str, columns: list[str], *, block_rows: int = 200_000) -> DataFrame:
     """Each row with `_next_` columns of the next row in descending id order; the last row gets the first one's.
 
     Rows are dealt to blocks of consecutive ids. The first row of each block is also copied to the block before it, so
     rows move once and no task orders the whole table.
     """
-    ids = df.select(id_col)
-    cuts, _ = block_cuts(ids, id_col, block_rows)
-    # Block 0 has the largest ids.
-    number = F.aggregate(F.array(*[F.lit(c) for c in cuts]) if cuts else F.expr("cast(array() as array<bigint>)"), F.lit(0), lambda n, c: n + F.when(F.col(id_col) <= c, F.lit(1)).otherwise(F.lit(0)))
-    blocked = df.withColumn("_block", F.when(F.col(id_col).isNull(), F.lit(len(cuts))).otherwise(number))
+    # Block numbers fall as ids rise, so the block with the largest ids comes first; null ids come last.
+    blocked = df.withColumn("_block", -id_blocks(df.select(id_col), id_col, block_rows))
     heads = blocked.groupBy("_block").agg(F.max(F.struct(F.col(id_col), F.col(tie))).alias("_head"))
     order = Window.orderBy("_block")  # one row per block
     last = Window.partitionBy(F.lit(0))

@@ -20,6 +20,24 @@ def whole(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit(""))
 
 
+def id_blocks(ids: DataFrame, id_col: str, block_rows: int, *, least: int = 24) -> Column:
+    """Number of the block of consecutive ids a row belongs to, from 0; null ids are block -1.
+
+    Blocks hold about block_rows rows; the ids at which they end, one number a block, come to the driver.
+    """
+    blocks = max(least, ids.count() // block_rows + 1)
+    cuts = ids.agg(F.percentile_approx(id_col, [k / blocks for k in range(1, blocks)], 100 * blocks)).first()[0] or []
+    return _steps(F.col(id_col), sorted(set(cuts)), 0).cast("int")
+
+
+def _steps(value: Column, cuts: list, below: int) -> Column:
+    """Number of cuts under the value, by halving; -1 for null."""
+    if not cuts:
+        return F.when(value.isNull(), F.lit(-1)).otherwise(F.lit(below))
+    middle = len(cuts) // 2
+    return F.when(value > F.lit(cuts[middle]), _steps(value, cuts[middle + 1 :], below + middle + 1)).otherwise(_steps(value, cuts[:middle], below))
+
+
 def numbered_within(df: DataFrame, group: str, order: list[str], name: str, *, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Gapless numbers from 0 in each group.
 
