@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tabloom.catalog import Registry, load
-from tabloom.llm import bpe, fingerprints, language, licenses, main_text, mixing, shards, token_files, vectors
+from tabloom.llm import bpe, fingerprints, jaccard_join, language, licenses, main_text, mixing, shards, token_files, vectors
 
 registry = Registry()
 
@@ -16,6 +16,11 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(load(spark, sf_dir, "documents"))
 
 
+@registry.add("op2_jaccard_join")
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_documents(load(spark, sf_dir, "documents"))
+
+
 @registry.add("op3_language_id")
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict_languages(load(spark, sf_dir, "documents"))
