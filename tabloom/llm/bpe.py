@@ -180,8 +180,7 @@ def encode_documents(docs: DataFrame, *, path: str, pattern: str, id_col: str =
     return source.mapInArrow(run, f"id {id_type.simpleString()}, ids binary, decoded binary").withColumnRenamed("id", id_col)
 
 
-def token_digests(encoded: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
-    """n_tokens, ids_sha256 and decoded_sha256 of encode_documents' rows."""
-    return encoded.select(id_col, (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
-
-
+def token_digests(encoded: DataFrame, *keep: str, id_col: str = "doc_id") -> DataFrame:
+    """n_tokens, ids_sha256 and decoded_sha256 of encode_documents' rows, after the columns to keep."""
+    count = (F.octet_length("ids") / 4).cast("long")
+    return encoded.select(id_col, *keep, count.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tabloom.llm.texts import byte_slices
 
@@ -131,32 +131,37 @@ def fit_filter(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_c
     return out
 
 
-def identify(docs: DataFrame, fitted: LanguageFilter, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, lang_pred, score for every row, from its whole text alone.
+def identify(docs: DataFrame, fitted: LanguageFilter, *, text_col: str = "text", pred_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
+    """All rows and columns of docs with the predicted language and its score, from each row's whole text alone.
 
     `und` with score 0 if the text is null or has no letter. A text none of whose grams is known gets the most frequent
     learned language with score 0; equal shares give the first language in name order. Repeated rows stay; an empty
-    table gives none.
+    table gives none. Columns that docs has under the two new names are replaced.
     """
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(fitted)  # slots and a few numbers per language
-    id_type = docs.schema[id_col].dataType.simpleString()
+    shared = docs.sparkSession.sparkContext.broadcast(fitted)  # slots and a few numbers per language
+    kept = [c for c in docs.columns if c not in (pred_col, score_col)]
+    # Columns travel under numbers, so that no name can clash.
+    names = [f"c{k}" for k in range(len(kept))]
+    fields = [T.StructField(n, docs.schema[c].dataType) for n, c in zip(names, kept)]
+    schema = T.StructType([*fields, T.StructField("lang", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            names, scores = [], []
-            lettered = batch.column(2).to_numpy(zero_copy_only=False)
-            for first, data, starts, ends in byte_slices(batch.column(1)):
+            languages, scores = [], [np.empty(0)]
+            lettered = batch.column(1).to_numpy(zero_copy_only=False)
+            for first, data, starts, ends in byte_slices(batch.column(0)):
                 best, score = model.decide(data, starts, ends)
                 fine = lettered[first : first + len(starts)]
-                names += [model.languages[b] if ok else UNKNOWN for b, ok in zip(best, fine)]
+                languages += [model.languages[b] if ok else UNKNOWN for b, ok in zip(best, fine)]
                 scores.append(np.where(fine, score, 0.0))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(np.concatenate(scores) if scores else [], pa.float64())], names=["id", "lang_pred", "score"])
+            columns = [*batch.columns[2:], pa.array(languages, pa.string()), pa.array(np.concatenate(scores))]
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, "lang", "score"])
 
-    lettered = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), lettered.alias("lettered"))
-    return source.mapInArrow(run, f"id {id_type}, lang_pred string, score double").withColumnRenamed("id", id_col)
+    text = F.col(f"`{text_col}`")
+    lettered = F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
+    source = docs.select(text.alias("text"), lettered.alias("lettered"), *[F.col(f"`{c}`").alias(n) for n, c in zip(names, kept)])
+    return source.mapInArrow(run, schema).toDF(*kept, pred_col, score_col)
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -166,4 +171,5 @@ def held_out(id_col: str = "doc_id") -> Column:
 def predict_languages(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
     """Fit on the rows that are not held out, predict all. held_out follows from the id alone; null ids are not held out."""
     fitted = fit_filter(docs, ~held_out(id_col), id_col=id_col, **options)
-    return identify(docs, fitted, id_col=id_col).select(id_col, held_out(id_col).alias("held_out"), "lang_pred", "score")
+    texts = docs.select(id_col, options.get("text_col", "text"))
+    return identify(texts, fitted, text_col=options.get("text_col", "text")).select(id_col, held_out(id_col).alias("held_out"), "lang_pred", "score")
