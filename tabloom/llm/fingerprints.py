@@ -79,7 +79,7 @@ def as_text(s: Column) -> Column:
     return F.array_join(F.transform(s, lambda h: F.lower(F.hex(h))), ",")
 
 
-def with_next(df: DataFrame, id_col: str, tie: str, columns: list[str], *, block_rows: int = 200_000) -> DataFrame:
+def with_next(df: DataFrame, id_col: str, tie: str, columns: list[str], *, block_rows: int = 20_000) -> DataFrame:
     """Each row with `_next_` columns of the next row in descending id order; the last row gets the first one's.
 
     Rows are dealt to blocks of consecutive ids. The first row of each block is also copied to the block before it, so

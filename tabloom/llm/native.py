@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -20,22 +21,21 @@ def whole(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit(""))
 
 
-def id_blocks(ids: DataFrame, id_col: str, block_rows: int, *, least: int = 24) -> Column:
+def id_blocks(ids: DataFrame, id_col: str, block_rows: int, *, least: int = 24, most: int = 1 << 16) -> Column:
     """Number of the block of consecutive ids a row belongs to, from 0; null ids are block -1.
 
-    Blocks hold about block_rows rows; the ids at which they end, one number a block, come to the driver.
+    Blocks hold about block_rows rows, more only where there would be over `most` of them; the ids at which they end,
+    one number a block, come to the driver. A row finds its block by halving the sorted list of ends.
     """
-    blocks = max(least, ids.count() // block_rows + 1)
+    blocks = min(most, max(least, ids.count() // block_rows + 1))
     cuts = ids.agg(F.percentile_approx(id_col, [k / blocks for k in range(1, blocks)], 100 * blocks)).first()[0] or []
-    return _steps(F.col(id_col), sorted(set(cuts)), 0).cast("int")
-
-
-def _steps(value: Column, cuts: list, below: int) -> Column:
-    """Number of cuts under the value, by halving; -1 for null."""
+    cuts = sorted(set(cuts))
     if not cuts:
-        return F.when(value.isNull(), F.lit(-1)).otherwise(F.lit(below))
-    middle = len(cuts) // 2
-    return F.when(value > F.lit(cuts[middle]), _steps(value, cuts[middle + 1 :], below + middle + 1)).otherwise(_steps(value, cuts[:middle], below))
+        return F.when(F.col(id_col).isNull(), F.lit(-1)).otherwise(F.lit(0))
+    ends = F.from_json(F.lit(json.dumps(cuts)), f"array<{ids.schema[id_col].dataType.simpleString()}>")
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(cuts).bit_length()))])
+    number = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(ends, at + step - 1) < F.col(id_col), at + step).otherwise(at))
+    return F.when(F.col(id_col).isNull(), F.lit(-1)).otherwise(number)
 
 
 def numbered_within(df: DataFrame, group: str, order: list[str], name: str, *, block_rows: int = BLOCK_ROWS) -> DataFrame:
