@@ -29,8 +29,8 @@ def is_weekend(ts: Column) -> Column:
 
 
 def timestamp_features(name: str) -> list[Column]:
-    """Hour, day of week, month and a weekend flag for the named time column."""
-    ts = F.col(f"`{name}`")
+    """Hour, day of week, month and a weekend flag for the named column; text that is no time gives nulls and no weekend."""
+    ts = parse_time(F.col(f"`{name}`"))
     prefix = underscored(name)
     parts = [c.alias(f"{prefix}_{p}") for p, c in zip(("hour", "dayofweek", "month"), (F.hour(ts), F.weekday(ts), F.month(ts)))]
     return [*parts, is_weekend(ts).alias(f"{prefix}_is_weekend")]

@@ -33,7 +33,9 @@ def feature_table(df: DataFrame, config: FeatureConfig, *, keep: Sequence[str] =
     kept = [col(c) for c in keep]
     survivors = [col(c) for c in df.columns if c not in gone]
     derived = [f for c in times for f in timestamp_features(c)] + [f for c in ports for f in port_features(c)]
-    return df.select(*kept, *survivors, *derived)
+    out = df.select(*kept, *survivors, *derived)
+    # The drop list holds for derived columns as well.
+    return out.drop(*(c for c in out.columns[len(kept) + len(survivors) :] if c in config.drop_cols))
 
 
 def features_and_label(df: DataFrame, config: FeatureConfig, *, keep: Sequence[str] = ()) -> DataFrame:

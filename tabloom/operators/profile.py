@@ -34,18 +34,18 @@ def null_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.agg(*(F.count_if(col(c).isNull()).alias(c) for c in cols))
 
 
+def _short_key(text: Column) -> Column:
+    """The text, or a digest that is longer than any text that stands for itself."""
+    return F.when(F.length(text) > LONG_VALUE, F.concat(F.lit("sha256:"), F.sha2(text, 256))).otherwise(text)
+
+
 def value_counts_by_column(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """(feature, value, count) for every non-null value of every column, in one shuffle of distinct values.
 
     Values longer than LONG_VALUE characters travel as their SHA-256 digest, so long texts are not shuffled.
     """
     names = list(cols or df.columns)
-
-    def key(name: str) -> Column:
-        text = col(name).cast("string")
-        return F.when(F.length(text) > LONG_VALUE, F.sha2(text, 256)).otherwise(text)
-
-    pairs = F.array(*(F.struct(F.lit(c).alias("feature"), key(c).alias("value")) for c in names))
+    pairs = F.array(*(F.struct(F.lit(c).alias("feature"), _short_key(col(c).cast("string")).alias("value")) for c in names))
     return df.select(F.inline(pairs)).filter(F.col("value").isNotNull()).groupBy("feature", "value").agg(F.count("*").alias("count"))
 
 
@@ -212,11 +212,12 @@ def describe_all(df: DataFrame, **options: int) -> DataFrame:
     text_cols = [f.name for f in df.schema.fields if _is_text(f)]
     out = describe_numeric(df, numeric, **options).withColumns({"unique": F.lit(None).cast("bigint"), "top": F.lit(None).cast("string"), "freq": F.lit(None).cast("bigint")})
     if text_cols:
-        counts = value_counts_by_column(df, text_cols)
-        most = counts.groupBy("feature").agg(F.sum("count").alias("count"), F.count("*").alias("unique"), F.max("count").alias("freq"))
-        tops = counts.join(most.select("feature", F.col("freq").alias("count")), ["feature", "count"]).groupBy("feature").agg(F.min("value").alias("top"))
+        pairs = F.array(*(F.struct(F.lit(c).alias("feature"), _short_key(col(c)).alias("key"), col(c).alias("value")) for c in text_cols))
+        counts = df.select(F.inline(pairs)).filter(F.col("key").isNotNull()).groupBy("feature", "key").agg(F.count("*").alias("count"), F.any_value("value").alias("value"))
+        first = F.min(F.struct((-F.col("count")).alias("less"), "value"))
+        most = counts.groupBy("feature").agg(F.sum("count").alias("count"), F.count("*").alias("unique"), F.max("count").alias("freq"), first["value"].alias("top"))
         empty = {c: F.lit(None).cast("double") for c in ("mean", "std", "min", "p25", "p50", "p75", "max")}
-        texts = most.join(tops, "feature").withColumnRenamed("feature", "column").withColumns(empty)
+        texts = most.withColumnRenamed("feature", "column").withColumns(empty)
         out = out.unionByName(texts.select(*out.columns))
     return out
 

@@ -117,3 +117,22 @@ def test_histogram_of_groups_with_a_null_group(spark):
     rows = histogram(df, "v", bins=2, by=["g"]).collect()
     assert sorted((str(r["g"]), r["bin"], r["left"], r["count"]) for r in rows) == [("None", 0, 1.0, 1), ("None", 1, 1.5, 1), ("a", 0, 0.0, 1), ("a", 1, 2.0, 1)]
     assert histogram(df.filter("v > 9"), "v", bins=2).count() == 0
+
+
+def test_most_frequent_long_value_is_reported_as_it_is(spark):
+    from tabloom.operators.profile import describe_all
+
+    long = "y" * 80
+    df = spark.createDataFrame([("x" * 90, 1), (long, 2), (long, 3), ("a", 4)], "t string, n int")
+    row = describe_all(df).filter("column = 't'").first()
+    assert (row["top"], row["freq"], row["unique"], row["count"]) == (long, 2, 3, 4)
+
+
+def test_time_features_of_text_and_dropped_derived_columns(spark):
+    from tabloom.operators.features import FeatureConfig, feature_table
+
+    df = spark.createDataFrame([(1, "2024-01-06 10:00:00", "a"), (2, "never", "b")], "row_id int, ts string, y string")
+    config = FeatureConfig(target_col="y", row_id_col="row_id", drop_cols=("ts_month",), timestamp_cols=("ts",))
+    out = feature_table(df, config)
+    assert "ts_month" not in out.columns
+    assert [(r["ts_hour"], r["ts_is_weekend"]) for r in out.collect()] == [(10, 1), (None, 0)]
