@@ -8,20 +8,22 @@ offset indexes, so a read of a few documents or of the counts alone skips the re
 from __future__ import annotations
 
 import os
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tabloom.llm.texts import independent_chunks
+from tabloom.llm.texts import ASCII_SPACE, independent_chunks
 from tabloom.session import shared_dir, shuffle_partitions
 
 CACHE_ENTRIES = 400_000
+RUN_CHUNKS = 64
 WRITE_OPTIONS = {
     "compression": "zstd",
     "parquet.writer.version": "PARQUET_2_0",
@@ -34,10 +36,11 @@ WRITE_OPTIONS = {
 
 
 class CachedTokenizer:
-    """A tokenizer of the tokenizers library that meets each chunk of text once.
+    """A tokenizer of the tokenizers library that meets frequent chunks of text once.
 
     Chunks are encoded apart, which gives the same ids as the whole text (see independent_chunks); a text that can't be
-    cut this way is encoded whole.
+    cut this way is encoded whole. The cache has two generations of CACHE_ENTRIES chunks: its memory is bounded, and
+    chunks in use outlive those met once.
     """
 
     def __init__(self, path: str) -> None:
@@ -46,18 +49,45 @@ class CachedTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.token_bytes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
+        for token, number in vocabulary.items():
+            self.token_bytes[number] = len(token)  # a byte-level token has one character for each byte
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<i4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [struct.pack(f"<{len(ids)}i", *ids) for ids in (e.ids for e in encoded)]
+
+    def _encode_chunks(self, chunks: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Chunks with white space before other text are encoded as runs of text and told apart by their bytes."""
+        inner = [c for c in chunks if c[0] in ASCII_SPACE and c[-1] not in ASCII_SPACE]
+        apart = [c for c in chunks if c[0] not in ASCII_SPACE or c[-1] in ASCII_SPACE]
+        yield from zip(apart, self._encode(apart))
+        runs = [inner[k : k + RUN_CHUNKS] for k in range(0, len(inner), RUN_CHUNKS)]
+        for run, raw in zip(runs, self._encode(["".join(r) for r in runs])):
+            tokens = np.cumsum(self.token_bytes[np.frombuffer(raw, dtype="<i4")])
+            ends = np.cumsum([len(c.encode()) for c in run])
+            last = np.searchsorted(tokens, ends)
+            if tokens[-1] != ends[-1] or (tokens[last] != ends).any():
+                raise ValueError("a token spans two chunks: the vocabulary is not byte-level")
+            cuts = [0, *(4 * (last + 1)).tolist()]
+            yield from zip(run, (raw[x:y] for x, y in zip(cuts[:-1], cuts[1:])))
+
+    def _learn(self, chunks: list[list[str]]) -> None:
+        """Put all chunks into the cache; those of the older generation that are met again are carried over."""
+        missing = set(filterfalse(self.cache.__contains__, chain.from_iterable(chunks)))
+        if len(self.cache) + len(missing) > CACHE_ENTRIES:
+            self.older, self.cache = self.cache, {}
+            missing = set(chain.from_iterable(chunks))
+        met = missing.intersection(self.older)
+        self.cache.update((c, self.older[c]) for c in met)
+        self.cache.update(self._encode_chunks([*missing.difference(met)]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [independent_chunks(t) for t in texts]
-        missing = [*set(chain.from_iterable(c for c in cut if c)).difference(self.cache)]
-        if len(self.cache) + len(missing) > CACHE_ENTRIES:
-            self.cache.clear()
-            missing = [*set(chain.from_iterable(c for c in cut if c))]
-        self.cache.update(zip(missing, self._encode(missing)))
+        self._learn([c for c in cut if c])
         known = self.cache.__getitem__
         return [self._encode([t])[0] if c is None else b"".join(map(known, c)) for t, c in zip(texts, cut)]
 
