@@ -65,15 +65,17 @@ class CachedTokenizer:
         inner = [c for c in chunks if c[0] in ASCII_SPACE and c[-1] not in ASCII_SPACE]
         apart = [c for c in chunks if c[0] not in ASCII_SPACE or c[-1] in ASCII_SPACE]
         yield from zip(apart, self._encode(apart))
-        runs = [inner[k : k + RUN_CHUNKS] for k in range(0, len(inner), RUN_CHUNKS)]
-        for run, raw in zip(runs, self._encode(["".join(r) for r in runs])):
-            tokens = np.cumsum(self.token_bytes[np.frombuffer(raw, dtype="<i4")])
-            ends = np.cumsum([len(c.encode()) for c in run])
-            last = np.searchsorted(tokens, ends)
-            if tokens[-1] != ends[-1] or (tokens[last] != ends).any():
-                raise ValueError("a token spans two chunks: the vocabulary is not byte-level")
-            cuts = [0, *(4 * (last + 1)).tolist()]
-            yield from zip(run, (raw[x:y] for x, y in zip(cuts[:-1], cuts[1:])))
+        if not inner:
+            return
+        runs = ["".join(inner[k : k + RUN_CHUNKS]) for k in range(0, len(inner), RUN_CHUNKS)]
+        raw = b"".join(self._encode(runs))
+        tokens = np.cumsum(self.token_bytes[np.frombuffer(raw, dtype="<i4")])
+        ends = np.cumsum([len(c.encode()) for c in inner])
+        last = np.searchsorted(tokens, ends)
+        if tokens[-1] != ends[-1] or (tokens[last] != ends).any():
+            raise ValueError("a token spans two chunks: the vocabulary is not byte-level")
+        cuts = [0, *(4 * (last + 1)).tolist()]
+        yield from zip(inner, (raw[x:y] for x, y in zip(cuts[:-1], cuts[1:])))
 
     def _learn(self, chunks: list[list[str]]) -> None:
         """Put all chunks into the cache; those of the older generation that are met again are carried over."""
@@ -81,7 +83,7 @@ class CachedTokenizer:
         if len(self.cache) + len(missing) > CACHE_ENTRIES:
             self.older, self.cache = self.cache, {}
             missing = set(chain.from_iterable(chunks))
-        met = missing.intersection(self.older)
+        met = {*filter(self.older.__contains__, missing)}  # asks for the few missing ones, not for all that are kept
         self.cache.update((c, self.older[c]) for c in met)
         self.cache.update(self._encode_chunks([*missing.difference(met)]))
 
