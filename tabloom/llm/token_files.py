@@ -13,7 +13,8 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain, filterfalse
+from itertools import compress, count
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -77,21 +78,24 @@ class CachedTokenizer:
         cuts = [0, *(4 * (last + 1)).tolist()]
         yield from zip(inner, (raw[x:y] for x, y in zip(cuts[:-1], cuts[1:])))
 
-    def _learn(self, chunks: list[list[str]]) -> None:
-        """Put all chunks into the cache; those of the older generation that are met again are carried over."""
-        missing = set(filterfalse(self.cache.__contains__, chain.from_iterable(chunks)))
+    def _learn(self, missing: set[str]) -> None:
+        """Put chunks that the cache lacks into it; those of the older generation are carried over."""
         if len(self.cache) + len(missing) > CACHE_ENTRIES:
             self.older, self.cache = self.cache, {}
-            missing = set(chain.from_iterable(chunks))
         met = {*filter(self.older.__contains__, missing)}  # asks for the few missing ones, not for all that are kept
         self.cache.update((c, self.older[c]) for c in met)
         self.cache.update(self._encode_chunks([*missing.difference(met)]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text: every chunk is looked up once, the gaps are filled after all new chunks are learned."""
         cut = [independent_chunks(t) for t in texts]
-        self._learn([c for c in cut if c])
-        known = self.cache.__getitem__
-        return [self._encode([t])[0] if c is None else b"".join(map(known, c)) for t, c in zip(texts, cut)]
+        found = [[*map(self.cache.get, c or ())] for c in cut]
+        gaps = [[*compress(count(), map(not_, f))] for f in found]  # a chunk has one id at least
+        self._learn({c[i] for c, gap in zip(cut, gaps) for i in gap})
+        for chunks, ids, gap in zip(cut, found, gaps):
+            for i in gap:
+                ids[i] = self.cache[chunks[i]]
+        return [self._encode([t])[0] if c is None else b"".join(ids) for t, c, ids in zip(texts, cut, found)]
 
 
 @lru_cache(maxsize=2)
