@@ -16,7 +16,7 @@ from tabloom.operators.metrics import classification_metrics, classification_rep
 from tabloom.operators.selection import fold_of
 from tabloom.operators.slices import leaderboard
 from tabloom.operators.split import join_split, only_split
-from tabloom.plans.models import JOB_CLASSIFIERS, ModelSpec, REPORT_REGRESSORS, Training, model_spec, predictions_table
+from tabloom.plans.models import JOB_CLASSIFIERS, ModelSpec, REPORT_REGRESSORS, Training, margin_scale, model_spec, predictions_table
 from tabloom.session import stash
 from tabloom.sources.documents import CLASSES_FILE, read_class_map, read_config, run_stamp, utc_now_iso
 from tabloom.sources.runs import complete_runs, latest_model, latest_prepared, latest_run_per_model, load_model, metric_rows, write_inference, write_run
@@ -85,17 +85,17 @@ def score(model: PipelineModel, df: DataFrame, config: FeatureConfig, classes: S
     """Predictions for a table with the config's columns. Stateless, so it also takes a streaming table."""
     truth = [config.target_col] if config.target_col in df.columns else []
     scored = model.transform(feature_table(df, config, keep=[config.row_id_col, *truth]))
-    return predictions_table(scored, row_id_col=config.row_id_col, classes=classes, truth_col=config.target_col)
+    return predictions_table(scored, row_id_col=config.row_id_col, classes=classes, steep=margin_scale(model), truth_col=config.target_col)
 
 
 def infer(
-    spark: SparkSession, *, prepared_root: str, runs_root: str, output_root: str, slug: str, prefix: str, split: str = "test", model_path: str | None = None, limit: int | None = None
+    spark: SparkSession, *, prepared_root: str, runs_root: str, output_root: str, slug: str, prefix: str, split: str = "test", model_path: str | None = None, config_path: str | None = None, limit: int | None = None
 ) -> dict[str, str]:
     """Score one split of the newest prepared folder with the newest (or a given) model and save the predictions."""
     path = model_path or latest_model(spark, runs_root, f"{prefix}_{slug}")
     model = load_model(spark, path)
     folder = latest_prepared(spark, prepared_root)
-    config = read_config(spark, f"{folder}/baseline_feature_config.json")
+    config = read_config(spark, config_path or f"{folder}/baseline_feature_config.json")
     classes = list(read_class_map(spark, f"{folder}/{CLASSES_FILE}").first()["classes"])
     joined = join_split(read_prepared(spark, folder), read_table(spark, f"{folder}/split.csv"), row_id_col=config.row_id_col, label_col=config.target_col)
     rows = only_split(joined, split).drop("split")

@@ -6,12 +6,15 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from typing import Any, Protocol
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
+    GBTClassificationModel,
     GBTClassifier,
     LinearSVC,
     LogisticRegression,
     OneVsRest,
+    OneVsRestModel,
     RandomForestClassifier,
 )
 from pyspark.ml.clustering import BisectingKMeans, KMeans
@@ -69,6 +72,13 @@ def normalised_scores(raw: Column, *, steep: float = 1.0) -> Column:
     return F.transform(odds, lambda v: v / total)
 
 
+def margin_scale(model: PipelineModel) -> float:
+    """2 for boosted trees, one ensemble per class, as their margin is half the log odds; else 1."""
+    last = model.stages[-1]
+    boosted = isinstance(last, OneVsRestModel) and all(isinstance(m, GBTClassificationModel) for m in last.models)
+    return 2.0 if boosted else 1.0
+
+
 def class_probabilities(predictions: DataFrame, *, steep: float = 1.0) -> Column:
     """Array of class probabilities of a prediction table; one-vs-rest margins are normalised."""
     if "probability" in predictions.columns:

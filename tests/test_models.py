@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from tabloom.operators.selection import fold_of, select_features
@@ -16,6 +17,7 @@ from tabloom.plans.models import (
     REPORT_REGRESSORS,
     Training,
     class_probabilities,
+    margin_scale,
     coefficient_table,
     model_spec,
     predictions_table,
@@ -163,3 +165,14 @@ def test_prediction_table_and_top_features(spark):
     assert [tuple(r) for r in rows] == [(1, 1, "m", 0.8, "x"), (2, 7, "", 0.6, "y")]
     table = coefficient_table(scored, ["a", "b", "c"], [[3.0, 0.0, -1.0], [4.0, 0.0, 0.0]])
     assert [tuple(r) for r in top_features(table, "l2", 2).collect()] == [("a", 3.5, 5.0, 2), ("c", 0.5, 1.0, 1)]
+
+
+def test_boosted_margins_give_the_shares_of_each_ensemble(data):
+    _, _, _, table = data
+    fitted = model_spec("gradient_boosting", CLASSIFIERS).train(table, Training(classes=("a", "b", "c"), label_col="y"), rounds=2)
+    model = PipelineModel([fitted])
+    assert margin_scale(model) == 2.0
+    row = table.first()
+    own = np.array([m.predictProbability(row["features"])[1] for m in fitted.models])
+    shares = fitted.transform(table.limit(1)).select(class_probabilities(fitted.transform(table.limit(1)), steep=2.0)).first()[0]
+    assert np.allclose(shares, own / own.sum())
