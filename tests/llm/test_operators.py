@@ -243,3 +243,40 @@ def test_vector_links_reach_the_recall(spark):
     assert all(got[1000 + k]["n_links"] == 0 and got[1000 + k]["kept"] for k in range(len(odd)))
     assert all(r["kept"] == (r["component_id"] == r["vec_id"]) for r in got.values())
     assert vectors.link_vectors(table.limit(0)).collect() == []
+
+
+def linked_as_brute_force(spark, data):
+    table = spark.createDataFrame([(k, [float(x) for x in v]) for k, v in enumerate(data)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r["n_links"] for r in vectors.link_vectors(table).collect()}
+    m = data / np.linalg.norm(data, axis=1, keepdims=True)
+    links = (m @ m.T >= 0.95).sum(axis=1) - 1
+    return np.array([got[k] for k in range(len(data))]), links
+
+
+def planted(rng, n, width, pairs):
+    data = rng.normal(size=(n, width))
+    data /= np.linalg.norm(data, axis=1, keepdims=True)
+    step = rng.normal(size=(pairs, width))
+    data[n - pairs :] = data[:pairs] + 0.27 * step / np.linalg.norm(step, axis=1, keepdims=True)
+    return data
+
+
+def test_vector_links_of_few_pairs_in_many_rows(spark):
+    found, links = linked_as_brute_force(spark, planted(np.random.default_rng(8), 6000, 32, 60))
+    assert links.sum() >= 100 and (found == links).all()
+
+
+def test_vector_links_beside_a_dense_group(spark):
+    rng = np.random.default_rng(9)
+    data = planted(rng, 5000, 32, 100)
+    dense = rng.normal(size=32) + rng.normal(size=(1000, 32)) * 1e-3
+    found, links = linked_as_brute_force(spark, np.concatenate([data, dense]))
+    assert (links[-1000:] >= 999).all() and links[:5000].sum() >= 180 and (found == links).all()
+
+
+def test_vector_limit_is_learned_from_enough_groups(spark):
+    data = planted(np.random.default_rng(10), 6000, 32, 3000)
+    table = spark.createDataFrame([(k, [float(x) for x in v]) for k, v in enumerate(data)], "rep long, vector array<double>")
+    assert 0 < vectors.fit_index(table, 6000).limit < 0.1
+    found, links = linked_as_brute_force(spark, data)
+    assert 0.99 * links.sum() <= found.sum() and (found <= links).all()
