@@ -280,3 +280,31 @@ def test_vector_limit_is_learned_from_enough_groups(spark):
     assert 0 < vectors.fit_index(table, 6000).limit < 0.1
     found, links = linked_as_brute_force(spark, data)
     assert 0.99 * links.sum() <= found.sum() and (found <= links).all()
+
+
+def test_mixed_blocks(docs, rows):
+    blocks = mixing.mix_blocks(docs, block_words=8, shards=5).collect()
+    taken = {r["doc_id"]: r["taken"] for r in mixing.mix_documents(docs, block_words=8, shards=5).collect()}
+    target = {r["source"]: round(r["target"]) for r in mixing.mix_documents(docs, block_words=8).collect()}
+    split = {r[0]: re.findall(r"[^\x20\x09-\x0D]+", r[1] or "") for r in rows}
+    by_source, counted = defaultdict(list), defaultdict(int)
+    for b in blocks:
+        by_source[b["source"]].append(b)
+        assert [s["start"] for s in b["spans"]] == [sum(s["words"] for s in b["spans"][:k]) for k in range(len(b["spans"]))]
+        for s in b["spans"]:
+            counted[s["id"]] += s["words"]
+    assert {k: n for k, n in taken.items() if n} == dict(counted)
+    for source, own in by_source.items():
+        stream = [w for r in sorted(rows) if r[3] == source for w in split[r[0]]]
+        whole = -(-len(stream) // 8)
+        passes = defaultdict(list)
+        for b in sorted(own, key=lambda b: b["slot"]):
+            assert b["text"].split(" ") == stream[b["block"] * 8 :][: b["take"]]
+            assert b["pass"] == b["slot"] // whole
+            passes[b["pass"]].append(b["block"])
+        assert sum(b["take"] for b in own) == target[source]
+        assert [b["slot"] for b in sorted(own, key=lambda b: b["slot"])] == list(range(len(own)))
+        assert all(len(set(p)) == len(p) for p in passes.values())
+        assert all(sorted(p) == list(range(whole)) for k, p in passes.items() if k < target[source] // len(stream))
+    per_shard = [sum(b["shard"] == k for b in blocks) for k in range(5)]
+    assert sum(per_shard) == len(blocks) and max(per_shard) - min(per_shard) <= 1 + len(by_source)
