@@ -48,10 +48,10 @@ def test_rolling_mean_across_chunks(skewed, chunk):
 PROBS = [0.0, 0.01, 0.25, 0.5, 0.77, 0.95, 1.0]
 
 
-@pytest.mark.parametrize("limit", [10, 100, 1_000_000])
+@pytest.mark.parametrize("limit", [1, 2, 10_000])
 def test_quantiles_with_a_hot_value(skewed, limit):
     pdf, df = skewed
-    rows = quantiles.quantiles(df, ["v", "w"], PROBS, ["g"], task_values=limit).collect()
+    rows = quantiles.quantiles(df, ["v", "w"], PROBS, ["g"], radix_groups=limit).collect()
     assert len(rows) == 6
     for r in rows:
         values = pdf.loc[pdf["g"] == r["g"], r["column"]].to_numpy()
@@ -61,14 +61,40 @@ def test_quantiles_with_a_hot_value(skewed, limit):
 
 def test_quantiles_of_constant_null_and_empty_columns(spark):
     df = spark.createDataFrame([(2.0, None), (2.0, None), (2.0, None)], "a double, b double")
-    for limit in (1, 100):
-        rows = quantiles.quantiles(df, ["a", "b"], [0.1, 0.5], task_values=limit).collect()
+    for limit in (0, 100):
+        rows = quantiles.quantiles(df, ["a", "b"], [0.1, 0.5], radix_groups=limit).collect()
         assert [(r["column"], r["q"]) for r in rows] == [("a", [2.0, 2.0])]
     assert quantiles.quantiles(df.limit(0), ["a"], [0.5]).count() == 0
 
 
 def test_describe_uses_exact_quartiles(skewed):
     pdf, df = skewed
-    small = {r["column"]: r for r in profile.describe_numeric(df, ["v"], task_values=50).collect()}["v"]
+    small = {r["column"]: r for r in profile.describe_numeric(df, ["v"]).collect()}["v"]
     want = pdf["v"].describe()
     assert np.allclose([small[k] for k in ("count", "mean", "std", "min", "p25", "p50", "p75", "max")], want.to_numpy())
+
+
+def test_quantiles_of_odd_values_and_groups_with_nulls(spark):
+    values = [0.0, -0.0, 1e-310, -1e308, 1e308, float("inf"), -2.5, 3.0, 3.0, float("nan"), None]
+    rows = [(g, h, v) for g in ("a", None) for h in ("a", None) for k, v in enumerate(values * 3) if k % 2 or h]
+    df = spark.createDataFrame(rows, "g string, h string, v double")
+    for limit in (2, 100):
+        got = {(r["g"], r["h"]): r for r in quantiles.quantiles(df, ["v"], [0.0, 0.3, 0.5, 1.0], ["g", "h"], radix_groups=limit).collect()}
+        assert len(got) == 4
+        for (g, h), r in got.items():
+            own = sorted(v for a, b, v in rows if (a, b) == (g, h) and v is not None and v == v)
+            assert r["n"] == len(own) and r["q"][0] == own[0] and r["q"][3] == own[-1] and r["q"][2] == np.quantile(own, 0.5)
+
+
+def test_quantiles_take_at_most_six_passes_and_never_join_rows(skewed, monkeypatch):
+    _, df = skewed
+    cols = ["v", "w", *(f"c{k}" for k in range(8))]
+    wide = df.select("g", "v", "w", *((F.col("v") * (k + 1) / 7).alias(f"c{k}") for k in range(8)))
+    plans = []
+    count = quantiles._digit_counts
+    monkeypatch.setattr(quantiles, "_digit_counts", lambda *a: plans.append(count(*a)) or plans[-1])
+    assert quantiles.quantiles(wide, cols, PROBS).count() == 10
+    assert len(plans) <= 6
+    for counts in plans:
+        text = counts._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in text and "Sort" not in text
