@@ -5,14 +5,13 @@ from __future__ import annotations
 from functools import partial
 from typing import Any
 
-from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabloom.catalog import Registry, load
 from tabloom.catalog.features import CONFIG, ported_events
-from tabloom.catalog.splits import EVENT_TIME_SPLIT, event_split
+from tabloom.catalog.splits import EVENT_SPLIT, EVENT_TIME_SPLIT, event_split
 from tabloom.functions.labels import json_or
 from tabloom.operators import split
 from tabloom.operators.dbscan import dbscan
@@ -52,62 +51,43 @@ def encoded_events(spark: SparkSession, sf_dir: str, *, scale: bool) -> tuple[Da
 
 
 def held_out(spec: ModelSpec, spark: SparkSession, sf_dir: str, **params: Any) -> DataFrame:
-    table, names = encoded_events(spark, sf_dir, scale=spec.needs_scaling)
-    if "direction" in spec.params:
-        params["width"] = len(names)
+    table, _ = encoded_events(spark, sf_dir, scale=spec.needs_scaling)
     model = spec.train(split.only_split(table, "train"), CONTEXT, **params)
     scored = model.transform(table.filter(F.col("split") != "train"))
     return scored.select("event_id", "split", F.col("label").cast("int").alias("y_true"), F.col("prediction").cast("int").alias("y_pred"))
 
 
-# Numbers of trees, rounds and kept features are the size of a quick run; everything else is as listed.
-CLASSIFIER_RUNS: dict[str, dict[str, Any]] = {
-    "linear_regression": {},
-    "lasso_regression": {},
-    "ridge_regression": {},
-    "elasticnet_regression": {},
-    "forward_selection": {"keep": 1, "folds": 3},
-    "pcr": {},
-    "plsr": {"components": 5},
-    "logistic_regression": {},
-    "svm": {"max_iter": 50},
-    "decision_trees": {},
-    "random_forests": {"trees": 10},
-    "knn": {},
-    "gradient_boosting": {"rounds": 5},
-    "xgboost": {"rounds": 5},
-}
-for _slug, _params in CLASSIFIER_RUNS.items():
-    registry.add(f"classify_{_slug}")(partial(held_out, model_spec(_slug, CLASSIFIERS), **_params))
-registry.add("classify_job_random_forest")(partial(held_out, model_spec("random_forest", JOB_CLASSIFIERS), trees=20, max_depth=12))
-
-
-@registry.add("classify_backward_selection")
-def classify_backward_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Backward selection on three raw columns, as every step fits one model per remaining feature and fold."""
-    df = split.attach_split(ported_events(spark, sf_dir), event_split(spark, sf_dir), row_id_col="event_id", require_all=False)
-    rows = labelled_features(df, CONFIG, CLASSES).select("event_id", "split", "label", "value", "user_id", "port")
-    table, encoder = encode_table(rows, id_col="event_id", scale=True)
-    table = stash(table)
-    spec = model_spec("backward_selection", CLASSIFIERS)
-    model = spec.train(split.only_split(table, "train"), CONTEXT, width=len(encoder.names), keep=2, folds=3)
-    scored = model.transform(table.filter(F.col("split") != "train"))
-    return scored.select("event_id", "split", F.col("label").cast("int").alias("y_true"), F.col("prediction").cast("int").alias("y_pred"))
+for _spec in CLASSIFIERS:
+    registry.add(f"classify_{_spec.slug}")(partial(held_out, _spec))
+for _spec in JOB_CLASSIFIERS:
+    registry.add(f"classify_job_{_spec.slug}")(partial(held_out, _spec))
+
+
+@registry.add(
+    "boosted_rounds",
+    f"""WITH t AS (SELECT event_type, count(*) AS n FROM events JOIN ({EVENT_SPLIT}) s USING (event_id) WHERE s.split = 'train' GROUP BY event_type),
+    base AS (SELECT sum(n)::BIGINT AS rows, round(-sum(n * ln(n / total)) / any_value(total), 6) AS loss FROM (SELECT n, sum(n) OVER () AS total FROM t))
+    SELECT r::INT AS round, rows, loss AS first_loss, true AS falls FROM base, range(1, 601) x(r)""",
+)
+def boosted_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rounds of the job's boosted model: training rows, the loss before the first round, and whether each lowers it."""
+    table, _ = encoded_events(spark, sf_dir, scale=False)
+    train = split.only_split(table, "train")
+    losses = model_spec("xgboost", JOB_CLASSIFIERS).train(train, CONTEXT).losses
+    falls = spark.createDataFrame([(k, round(losses[0], 6), losses[k] < losses[k - 1]) for k in range(1, len(losses))], "round int, first_loss double, falls boolean")
+    return falls.withColumn("rows", F.lit(train.count()))
 
 
 @registry.add("selected_features")
 def selected_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feature kept first by forward selection on document quality, with its accuracy."""
-    df = load(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang").join(load(spark, sf_dir, "labels"), "doc_id")
+    """Features of labelled documents in the order forward selection takes them for their quality, with the accuracy."""
+    df = load(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang", "source").join(load(spark, sf_dir, "labels"), "doc_id")
     encoder = fit_encoder(df, skip=["doc_id", "quality"], scale=True)
     rows = encoder.transform(df).withColumn("label", F.col("quality").cast("double")).select("doc_id", "features", "label")
-    chosen = select_features(
-        rows, estimator=lambda name: LogisticRegression(featuresCol=name, regParam=0.01), id_col="doc_id", label_col="label", width=len(encoder.names), keep=1, folds=3
-    )
-    named = [(encoder.names[i], s) for i, s in zip(chosen.kept, chosen.scores)]
-    counts = rows.agg(F.count("*").alias("rows"))
-    table = spark.createDataFrame(named, "feature string, accuracy double")
-    return table.withColumn("rows", F.lit(counts.first()[0]))
+    chosen = select_features(rows, id_col="doc_id", label_col="label", classes=2, width=len(encoder.names))
+    named = [(k, encoder.names[i], s) for k, (i, s) in enumerate(zip(chosen.kept, chosen.scores), 1)]
+    table = spark.createDataFrame(named, "step int, feature string, accuracy double")
+    return table.withColumn("rows", F.lit(rows.count()))
 
 
 @registry.add("probabilities")
@@ -122,7 +102,7 @@ def probabilities(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registry.add("one_vs_rest_probabilities")
 def one_vs_rest_probabilities(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, _ = encoded_events(spark, sf_dir, scale=True)
-    model = model_spec("svm", CLASSIFIERS).train(split.only_split(table, "train"), CONTEXT, max_iter=20)
+    model = model_spec("svm", CLASSIFIERS).train(split.only_split(table, "train"), CONTEXT)
     scored = model.transform(table.filter(F.col("split") != "train"))
     return scored.select("event_id", F.array_max(class_probabilities(scored)).alias("pred_proba_max"))
 
@@ -137,7 +117,7 @@ def top_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registry.add("top_importances")
 def top_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, names = encoded_events(spark, sf_dir, scale=False)
-    model = model_spec("decision_trees", CLASSIFIERS).train(split.only_split(table, "train"), CONTEXT, max_depth=8)
+    model = model_spec("decision_trees", CLASSIFIERS).train(split.only_split(table, "train"), CONTEXT)
     return top_features(importance_table(table, names, model.featureImportances.toArray()), "importance", 20)
 
 
@@ -156,14 +136,8 @@ def regress(spec: ModelSpec, spark: SparkSession, sf_dir: str, **params: Any) ->
     return scored.select("event_id", "split", F.col("label").alias("y_true"), F.col("prediction").alias("y_pred"))
 
 
-REGRESSION_RUNS: dict[str, dict[str, Any]] = {
-    "knn_regression": {},
-    "random_forest_regression": {"trees": 10, "max_depth": 10},
-    "gradient_boosting_regression": {"rounds": 10},
-    "xgboost_regression": {"rounds": 10},
-}
-for _slug, _params in REGRESSION_RUNS.items():
-    registry.add(f"regress_{_slug}")(partial(regress, model_spec(_slug, REGRESSORS), **_params))
+for _slug in ("knn_regression", "random_forest_regression", "gradient_boosting_regression", "xgboost_regression"):
+    registry.add(f"regress_{_slug}")(partial(regress, model_spec(_slug, REGRESSORS)))
 registry.add("regress_report_knn")(partial(regress, model_spec("knn_regression", REPORT_REGRESSORS)))
 
 # One scaled feature z: slopes are cov(z, y), shrunk by the penalty.

@@ -6,23 +6,14 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from typing import Any, Protocol
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import (
-    DecisionTreeClassifier,
-    GBTClassificationModel,
-    GBTClassifier,
-    LinearSVC,
-    LogisticRegression,
-    OneVsRest,
-    OneVsRestModel,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import DecisionTreeClassifier, LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabloom.functions.labels import decode_label, l2_norm, mean_abs
+from tabloom.operators.boosting import Boosting, fit_boosted
 from tabloom.operators.clean import col
 from tabloom.operators.dbscan import assign_clusters, dbscan, dbscan_vectors
 from tabloom.operators.encode import fit_pca, with_balanced_weights
@@ -65,25 +56,18 @@ class ModelSpec:
         return self.fit(df, context, **{**self.params, **overrides})
 
 
-def normalised_scores(raw: Column, *, steep: float = 1.0) -> Column:
+def normalised_scores(raw: Column) -> Column:
     """Class shares from one-vs-rest margins: logistic of each margin, divided by their sum."""
-    odds = F.transform(vector_to_array(raw), lambda m: 1 / (1 + F.exp(-steep * m)))
+    odds = F.transform(vector_to_array(raw), lambda m: 1 / (1 + F.exp(-m)))
     total = F.aggregate(odds, F.lit(0.0), lambda a, x: a + x)
     return F.transform(odds, lambda v: v / total)
 
 
-def margin_scale(model: PipelineModel) -> float:
-    """2 for boosted trees, one ensemble per class, as their margin is half the log odds; else 1."""
-    last = model.stages[-1]
-    boosted = isinstance(last, OneVsRestModel) and all(isinstance(m, GBTClassificationModel) for m in last.models)
-    return 2.0 if boosted else 1.0
-
-
-def class_probabilities(predictions: DataFrame, *, steep: float = 1.0) -> Column:
+def class_probabilities(predictions: DataFrame) -> Column:
     """Array of class probabilities of a prediction table; one-vs-rest margins are normalised."""
     if "probability" in predictions.columns:
         return vector_to_array(F.col("probability"))
-    return normalised_scores(F.col("rawPrediction"), steep=steep)
+    return normalised_scores(F.col("rawPrediction"))
 
 
 def _weighted(df: DataFrame, c: Training, balanced: bool) -> DataFrame:
@@ -126,10 +110,9 @@ def fit_tree(df: DataFrame, c: Training, *, max_depth: int | None = None, balanc
     return tree.fit(_weighted(df, c, balanced))
 
 
-def fit_boosting(df: DataFrame, c: Training, *, rounds: int, max_depth: int, rate: float, rows: float = 1.0, columns: float = 1.0, seed: int = SEED, parallelism: int = 4) -> Fitted:
-    """Boosted trees are binary in Spark, so each class gets its own ensemble."""
-    gbt = GBTClassifier(maxIter=rounds, maxDepth=max_depth, stepSize=rate, subsamplingRate=rows, featureSubsetStrategy="all" if columns >= 1 else str(columns), seed=seed)
-    return OneVsRest(classifier=gbt, parallelism=parallelism, **_base(c)).fit(df)
+def fit_boosting(df: DataFrame, c: Training, **settings: Any) -> Fitted:
+    """One softmax ensemble for all classes, or, without classes, one for the label's value."""
+    return fit_boosted(df, Boosting(**settings), classes=len(c.classes), features_col=c.features_col, label_col=c.label_col, id_col=c.id_col)
 
 
 def fit_linear_svm(df: DataFrame, c: Training, *, balanced: bool = True, max_iter: int = 1000, parallelism: int = 4) -> Fitted:
@@ -209,20 +192,23 @@ def fit_pls_one_vs_rest(df: DataFrame, c: Training, *, components: int = 10, max
     return Chain(pls, model)
 
 
-def fit_selected_logistic(df: DataFrame, c: Training, *, direction: str, width: int, keep: int | None = None, folds: int = 5, max_iter: int = 2000) -> Fitted:
-    weighted, rows = _weighted(df, c, True), df.count()
+def fit_selected_logistic(df: DataFrame, c: Training, *, direction: str, keep: int | None = None, folds: int = 5, max_iter: int = 2000) -> Fitted:
+    """Features are selected and the regression is fitted with balanced class weights."""
+    weighted = _weighted(df, c, True)
+    first = df.select(col(c.features_col)).first()
     chosen = select_features(
-        weighted.select(col(c.id_col), col(c.features_col), col(c.label_col)),
-        estimator=lambda name: LogisticRegression(featuresCol=name, labelCol=c.label_col, regParam=1.0 / max(rows, 1), standardization=False, maxIter=max_iter),
+        weighted,
         id_col=c.id_col,
         label_col=c.label_col,
-        width=width,
+        classes=len(c.classes),
+        width=first[0].size if first else 0,
         keep=keep,
         direction=direction,
         folds=folds,
+        weight_col="weight",
         features_col=c.features_col,
     )
-    model = logistic(c, rows, features_col="selected", max_iter=max_iter).fit(chosen.transform(weighted))
+    model = logistic(c, df.count(), features_col="selected", max_iter=max_iter).fit(chosen.transform(weighted))
     return Chain(chosen, model)
 
 
@@ -287,12 +273,6 @@ def fit_forest_regressor(df: DataFrame, c: Training, *, trees: int = 300, max_de
     ).fit(df)
 
 
-def fit_boosted_regressor(df: DataFrame, c: Training, *, rounds: int, max_depth: int, rate: float, rows: float = 1.0, columns: float = 1.0, seed: int = SEED) -> Fitted:
-    return GBTRegressor(
-        **_base(c), maxIter=rounds, maxDepth=max_depth, stepSize=rate, subsamplingRate=rows, featureSubsetStrategy="all" if columns >= 1 else str(columns), seed=seed
-    ).fit(df)
-
-
 CLASSIFIERS: tuple[ModelSpec, ...] = (
     ModelSpec("linear_regression", "Linear regression, one vs rest", "classification", True, fit_linear_one_vs_rest),
     ModelSpec("lasso_regression", "L1 logistic regression", "classification", True, fit_logistic, {"penalty": 1.0, "max_iter": 5000}),
@@ -307,7 +287,7 @@ CLASSIFIERS: tuple[ModelSpec, ...] = (
     ModelSpec("decision_trees", "Balanced decision tree", "classification", False, fit_tree),
     ModelSpec("random_forests", "Balanced random forest", "classification", False, fit_forest, {"trees": 300, "balanced": True}),
     ModelSpec("knn", "Nearest neighbours", "classification", True, fit_neighbours, {"k": 15}),
-    ModelSpec("gradient_boosting", "Histogram gradient boosting", "classification", False, fit_boosting, {"rounds": 100, "max_depth": 5, "rate": 0.1}),
+    ModelSpec("gradient_boosting", "Histogram gradient boosting", "classification", False, fit_boosting, {"rounds": 100, "max_depth": 5, "rate": 0.1, "l2": 0.0}),
     ModelSpec("xgboost", "Boosted trees", "classification", False, fit_boosting, {"rounds": 500, "max_depth": 6, "rate": 0.1, "rows": 0.9, "columns": 0.9}),
 )
 
@@ -330,8 +310,8 @@ REGRESSORS: tuple[ModelSpec, ...] = (
     ModelSpec("elasticnet_regression", "Elastic net regression", "regression", True, fit_elastic_net, {"alpha": 0.001, "l1_ratio": 0.5}),
     ModelSpec("knn_regression", "Nearest neighbour regression", "regression", True, fit_neighbours, {"k": 15, "task": "regression", "weights": "distance"}),
     ModelSpec("random_forest_regression", "Random forest regression", "regression", False, fit_forest_regressor, {"trees": 300}),
-    ModelSpec("gradient_boosting_regression", "Gradient boosting regression", "regression", False, fit_boosted_regressor, {"rounds": 100, "max_depth": 3, "rate": 0.1}),
-    ModelSpec("xgboost_regression", "Boosted tree regression", "regression", False, fit_boosted_regressor, {"rounds": 500, "max_depth": 6, "rate": 0.05, "rows": 0.8, "columns": 0.8}),
+    ModelSpec("gradient_boosting_regression", "Gradient boosting regression", "regression", False, fit_boosting, {"rounds": 100, "max_depth": 3, "rate": 0.1, "l2": 0.0}),
+    ModelSpec("xgboost_regression", "Boosted tree regression", "regression", False, fit_boosting, {"rounds": 500, "max_depth": 6, "rate": 0.05, "rows": 0.8, "columns": 0.8}),
 )
 
 # The summary report fits the same regressors with some other settings.
@@ -340,7 +320,7 @@ REPORT_REGRESSORS: tuple[ModelSpec, ...] = (
     *REGRESSORS[1:4],
     ModelSpec("knn_regression", "Nearest neighbour regression", "regression", True, fit_neighbours, {"k": 25, "task": "regression", "weights": "uniform"}),
     *REGRESSORS[5:7],
-    ModelSpec("xgboost_regression", "Boosted tree regression", "regression", False, fit_boosted_regressor, {"rounds": 600, "max_depth": 6, "rate": 0.05, "rows": 0.9, "columns": 0.9}),
+    ModelSpec("xgboost_regression", "Boosted tree regression", "regression", False, fit_boosting, {"rounds": 600, "max_depth": 6, "rate": 0.05, "rows": 0.9, "columns": 0.9}),
 )
 
 
@@ -351,11 +331,11 @@ def model_spec(slug: str, specs: Sequence[ModelSpec]) -> ModelSpec:
     return found[0]
 
 
-def predictions_table(scored: DataFrame, *, row_id_col: str, classes: Sequence[str], steep: float = 1.0, truth_col: str | None = None) -> DataFrame:
+def predictions_table(scored: DataFrame, *, row_id_col: str, classes: Sequence[str], truth_col: str | None = None) -> DataFrame:
     """(row id, y_pred, y_pred_label, pred_proba_max, y_true_label)."""
     cols: list[Column] = [col(row_id_col), F.col("prediction").cast("int").alias("y_pred"), decode_label(F.col("prediction"), classes).alias("y_pred_label")]
     if {"probability", "rawPrediction"} & set(scored.columns):
-        cols.append(F.array_max(class_probabilities(scored, steep=steep)).alias("pred_proba_max"))
+        cols.append(F.array_max(class_probabilities(scored)).alias("pred_proba_max"))
     if truth_col is not None and truth_col in scored.columns:
         cols.append(col(truth_col).cast("string").alias("y_true_label"))
     return scored.select(*cols)

@@ -3,7 +3,6 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
@@ -17,7 +16,6 @@ from tabloom.plans.models import (
     REPORT_REGRESSORS,
     Training,
     class_probabilities,
-    margin_scale,
     coefficient_table,
     model_spec,
     predictions_table,
@@ -111,8 +109,9 @@ def test_linear_one_vs_rest_takes_the_largest_score(data):
         ("decision_trees", {}),
         ("random_forests", {"trees": 5}),
         ("knn", {}),
-        ("gradient_boosting", {"rounds": 3}),
-        ("forward_selection", {"width": 4, "keep": 2, "folds": 2}),
+        ("gradient_boosting", {"rounds": 10}),
+        ("xgboost", {"rounds": 10}),
+        ("forward_selection", {"keep": 2, "folds": 2}),
     ],
 )
 def test_classifiers_beat_chance(data, slug, params):
@@ -135,19 +134,57 @@ def test_regressors_beat_the_mean(data, slug, params):
     assert error < 0.8 * r.var()
 
 
-def test_selection_finds_the_useful_columns(data):
+def by_refits(x, y, weight, fold, classes, keep, direction, ridge=1.0):
+    """The same greedy search, with each option fitted anew."""
+    width, marks = x.shape[1], np.eye(classes)[y]
+
+    def accuracy(kept):
+        a = np.column_stack([np.ones(len(x)), x[:, sorted(kept)]])
+        shares = []
+        for f in np.unique(fold):
+            t = fold != f
+            penalty = ridge * np.diag([0.0] + [1.0] * len(kept))
+            w = np.linalg.pinv(a[t].T @ (a[t] * weight[t, None]) + penalty) @ (a[t].T @ (marks[t] * weight[t, None]))
+            shares.append(((a[~t] @ w).argmax(1) == y[~t]).mean())
+        return np.mean(shares)
+
+    chosen, scores = ([] if direction == "forward" else [*range(width)]), []
+    while len(chosen) != keep:
+        options = [k for k in range(width) if (k in chosen) != (direction == "forward")]
+        got = [accuracy([*chosen, k] if direction == "forward" else [c for c in chosen if c != k]) for k in options]
+        best = options[int(np.argmax(got))]
+        chosen = [*chosen, best] if direction == "forward" else [c for c in chosen if c != best]
+        scores.append(max(got))
+    return chosen, scores
+
+
+@pytest.mark.parametrize("direction", ["forward", "backward"])
+def test_selection_equals_full_refits(spark, direction):
+    rng = np.random.default_rng(8)
+    n, d = 260, 9
+    x = rng.normal(size=(n, d))
+    x[:, 5] = x[:, 0]  # a column that repeats another
+    x[:, 6] = 3.0
+    y = (x[:, 1] + 0.5 * x[:, 4] > 0.3).astype(int) + (x[:, 2] > 0.9)
+    weight = n / (3 * np.bincount(y)[y])
+    df = spark.createDataFrame(pd.DataFrame({"row_id": np.arange(n), "a": list(x), "y": y.astype(float), "weight": weight}))
+    table = df.select("row_id", array_to_vector(F.col("a")).alias("features"), "y", "weight")
+    fold = np.array([r[0] for r in df.orderBy("row_id").select(fold_of("row_id", 5)).collect()])
+    got = select_features(table, id_col="row_id", label_col="y", classes=3, width=d, direction=direction, weight_col="weight", keep=4)
+    kept, scores = by_refits(x, y, weight, fold, 3, 4, direction)
+    assert np.allclose(got.scores, scores) and [*got.kept] == kept
+
+
+def test_selection_defaults_and_limits(data):
     _, _, _, table = data
-
-    def build(name):
-        return LogisticRegression(featuresCol=name, labelCol="y", regParam=0.001)
-
-    common = dict(estimator=build, id_col="row_id", label_col="y", width=4, keep=2, folds=2)
-    forward, backward = (select_features(table, direction=d, **common) for d in ("forward", "backward"))
-    assert set(forward.kept) == set(backward.kept) == {0, 1}
-    assert len(forward.scores) == 2 and forward.kept[0] == 0
+    common = dict(id_col="row_id", label_col="y", classes=3, width=4)
+    assert len(select_features(table, **common).kept) == 3
+    assert select_features(table, direction="backward", keep=2, **common).kept == (0, 1)
     assert select_features(table, **{**common, "width": 1}).kept == (0,)
     with pytest.raises(ValueError):
         select_features(table, direction="sideways", **common)
+    with pytest.raises(ValueError):
+        select_features(table, **{**common, "width": 5000})
     assert {r[0] for r in table.select(fold_of("row_id", 3)).distinct().collect()} == {0, 1, 2}
 
 
@@ -165,14 +202,3 @@ def test_prediction_table_and_top_features(spark):
     assert [tuple(r) for r in rows] == [(1, 1, "m", 0.8, "x"), (2, 7, "", 0.6, "y")]
     table = coefficient_table(scored, ["a", "b", "c"], [[3.0, 0.0, -1.0], [4.0, 0.0, 0.0]])
     assert [tuple(r) for r in top_features(table, "l2", 2).collect()] == [("a", 3.5, 5.0, 2), ("c", 0.5, 1.0, 1)]
-
-
-def test_boosted_margins_give_the_shares_of_each_ensemble(data):
-    _, _, _, table = data
-    fitted = model_spec("gradient_boosting", CLASSIFIERS).train(table, Training(classes=("a", "b", "c"), label_col="y"), rounds=2)
-    model = PipelineModel([fitted])
-    assert margin_scale(model) == 2.0
-    row = table.first()
-    own = np.array([m.predictProbability(row["features"])[1] for m in fitted.models])
-    shares = fitted.transform(table.limit(1)).select(class_probabilities(fitted.transform(table.limit(1)), steep=2.0)).first()[0]
-    assert np.allclose(shares, own / own.sum())
