@@ -59,13 +59,12 @@ def held_out(spec: ModelSpec, spark: SparkSession, sf_dir: str, **params: Any) -
 
 for _spec in CLASSIFIERS:
     registry.add(f"classify_{_spec.slug}")(partial(held_out, _spec))
-for _spec in JOB_CLASSIFIERS:
-    registry.add(f"classify_job_{_spec.slug}")(partial(held_out, _spec))
+registry.add("classify_job_random_forest")(partial(held_out, model_spec("random_forest", JOB_CLASSIFIERS)))
 
 
 @registry.add(
     "boosted_rounds",
-    f"""WITH t AS (SELECT event_type, count(*) AS n FROM events JOIN ({EVENT_SPLIT}) s USING (event_id) WHERE s.split = 'train' GROUP BY event_type),
+    f"""WITH t AS (SELECT event_type, count(*) AS n FROM ({EVENT_SPLIT}) WHERE split = 'train' GROUP BY event_type),
     base AS (SELECT sum(n)::BIGINT AS rows, round(-sum(n * ln(n / total)) / any_value(total), 6) AS loss FROM (SELECT n, sum(n) OVER () AS total FROM t))
     SELECT r::INT AS round, rows, loss AS first_loss, true AS falls FROM base, range(1, 601) x(r)""",
 )
