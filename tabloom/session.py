@@ -41,15 +41,22 @@ BROADCAST_ROWS = 100_000
 _written: list[str] = []
 
 
-def stash(df: DataFrame) -> DataFrame:
+def stash(df: DataFrame, **options: str) -> DataFrame:
     """Write df to the shared folder and read it back, so its lineage ends and its rows are frozen."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tabloom-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """Path of a folder to be written in the shared folder, which drop_stashes removes."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
 def drop_stashes(spark: SparkSession) -> None:
     """Delete the intermediate tables of this session; call it once all results are saved."""
     while _written:
