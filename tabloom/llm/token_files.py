@@ -8,12 +8,12 @@ offset indexes, so a read of a few documents or of the counts alone skips the re
 from __future__ import annotations
 
 import os
-import struct
-import uuid
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import compress, count
+from itertools import chain, compress, count
 from operator import not_
 
 import numpy as np
@@ -21,10 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tabloom.llm.texts import ASCII_SPACE, independent_chunks
-from tabloom.session import shared_dir, shuffle_partitions
+from tabloom.session import new_folder, shuffle_partitions
 
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 600_000
 RUN_CHUNKS = 64
+MARKED_WORD = re.compile(r"([ \n\t\r]*\w*[^\W_])([^\w\s]+)\Z")
 WRITE_OPTIONS = {
     "compression": "zstd",
     "parquet.writer.version": "PARQUET_2_0",
@@ -59,43 +60,63 @@ class CachedTokenizer:
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [struct.pack(f"<{len(ids)}i", *ids) for ids in (e.ids for e in encoded)]
+        return [array("I", e.ids).tobytes() for e in encoded]
 
     def _encode_chunks(self, chunks: list[str]) -> Iterator[tuple[str, bytes]]:
         """Chunks with white space before other text are encoded as runs of text and told apart by their bytes."""
         inner = [c for c in chunks if c[0] in ASCII_SPACE and c[-1] not in ASCII_SPACE]
-        apart = [c for c in chunks if c[0] not in ASCII_SPACE or c[-1] in ASCII_SPACE]
-        yield from zip(apart, self._encode(apart))
+        if len(inner) < len(chunks):
+            apart = [c for c in chunks if c[0] not in ASCII_SPACE or c[-1] in ASCII_SPACE]
+            yield from zip(apart, self._encode(apart))
         if not inner:
             return
         runs = ["".join(inner[k : k + RUN_CHUNKS]) for k in range(0, len(inner), RUN_CHUNKS)]
         raw = b"".join(self._encode(runs))
         tokens = np.cumsum(self.token_bytes[np.frombuffer(raw, dtype="<i4")])
-        ends = np.cumsum([len(c.encode()) for c in inner])
+        ends = np.cumsum(np.fromiter(map(len, map(str.encode, inner)), dtype=np.int64, count=len(inner)))
         last = np.searchsorted(tokens, ends)
         if tokens[-1] != ends[-1] or (tokens[last] != ends).any():
             raise ValueError("a token spans two chunks: the vocabulary is not byte-level")
-        cuts = [0, *(4 * (last + 1)).tolist()]
-        yield from zip(inner, (raw[x:y] for x, y in zip(cuts[:-1], cuts[1:])))
+        cuts = (4 * (last + 1)).tolist()
+        yield from zip(inner, map(raw.__getitem__, map(slice, [0, *cuts[:-1]], cuts)))
 
     def _learn(self, missing: set[str]) -> None:
-        """Put chunks that the cache lacks into it; those of the older generation are carried over."""
+        """Put chunks that the cache lacks into it; those of the older generation are carried over.
+
+        A word with marks after it is put together from the two, which the split pattern never joins.
+        """
         if len(self.cache) + len(missing) > CACHE_ENTRIES:
             self.older, self.cache = self.cache, {}
+        cache = self.cache
         met = {*filter(self.older.__contains__, missing)}  # asks for the few missing ones, not for all that are kept
-        self.cache.update((c, self.older[c]) for c in met)
-        self.cache.update(self._encode_chunks([*missing.difference(met)]))
+        cache.update((c, self.older[c]) for c in met)
+        new = missing.difference(met)
+        marked = [m.groups() for m in map(MARKED_WORD.match, new) if m]
+        new.difference_update(map("".join, marked))
+        parts = {*chain.from_iterable(marked)}.difference(new).difference(cache)
+        met = {*filter(self.older.__contains__, parts)}
+        cache.update((c, self.older[c]) for c in met)
+        cache.update(self._encode_chunks([*new, *parts.difference(met)]))
+        cache.update((word + marks, cache[word] + cache[marks]) for word, marks in marked)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text: every chunk is looked up once, the gaps are filled after all new chunks are learned."""
         cut = [independent_chunks(t) for t in texts]
-        found = [[*map(self.cache.get, c or ())] for c in cut]
-        gaps = [[*compress(count(), map(not_, f))] for f in found]  # a chunk has one id at least
-        self._learn({c[i] for c, gap in zip(cut, gaps) for i in gap})
-        for chunks, ids, gap in zip(cut, found, gaps):
-            for i in gap:
-                ids[i] = self.cache[chunks[i]]
-        return [self._encode([t])[0] if c is None else b"".join(ids) for t, c, ids in zip(texts, cut, found)]
+        chunks = [*chain.from_iterable(filter(None, cut))]
+        found = [*map(self.cache.get, chunks)]
+        if None in found:
+            gaps = [*compress(count(), map(not_, found))]  # a chunk has one id at least
+            self._learn({*map(chunks.__getitem__, gaps)})
+            for i in gaps:
+                found[i] = self.cache[chunks[i]]
+        out, at = [], 0
+        for text, own in zip(texts, cut):
+            if own is None:
+                out.append(self._encode([text])[0])
+            else:
+                out.append(b"".join(found[at : at + len(own)]))
+                at += len(own)
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -165,6 +186,6 @@ def token_index(spark: SparkSession, target: str) -> DataFrame:
 
 def index_documents(docs: DataFrame, *, path: str, **options) -> DataFrame:
     """Write all documents to a new folder of token files in the shared folder and index what is read back."""
-    target = f"{shared_dir(docs.sparkSession)}/tokens-{uuid.uuid4().hex}"
+    target = new_folder(docs.sparkSession, "tokens")
     write_tokens(docs, target, path=path, **options)
     return token_index(docs.sparkSession, target)
