@@ -1,14 +1,17 @@
 """Exact k-nearest-neighbour and radius joins by blocks.
 
-Points are assigned to their nearest pivot. Triangle bounds on the pivot distances tell, per query, which cells can
-still hold one of its neighbours; only those (query, cell) pairs are shuffled. Cells and their queries are cut into
-blocks of bounded size, and a block hands on at most k rows per query, so neither a hot cell nor a group of copies
-reaches one task as a whole and pairs are never listed.
+Points stand in cells around pivots, the square root of their number, and cells in groups around fewer pivots, so a row
+finds its cell by a search in two levels. A query first searches its home cell, which gives its true k-th distance there; of
+all other cells only those are searched whose ring of points around the pivot comes nearer than that. Cells and their
+queries are cut into blocks of bounded size, and a block hands on at most k rows per query, so neither a hot cell nor a
+group of copies reaches one task as a whole and pairs are never listed.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -20,7 +23,6 @@ from tabloom.operators.clean import col
 from tabloom.session import stash
 
 BLOCK_ROWS = 2048
-MAX_PIVOTS = 256
 PAIR_SLICE = 100_000
 
 
@@ -33,51 +35,113 @@ def pack(cols: Sequence[str]) -> Column:
     return F.array(*(col(c).cast("double") for c in cols))
 
 
-def _pivot_distances(vectors: pd.Series, pivots: np.ndarray) -> np.ndarray:
-    x = np.stack(vectors.to_numpy())
-    out = np.empty((len(x), len(pivots)))
-    for j, p in enumerate(pivots):
-        out[:, j] = np.sqrt(((x - p) ** 2).sum(axis=1))
+def _distances(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    out = np.empty((len(x), len(centers)))
+    for j, c in enumerate(centers):
+        out[:, j] = np.sqrt(((x - c) ** 2).sum(axis=1))
     return out
 
 
-def _home_cell(pivots: np.ndarray):
-    @F.pandas_udf("cell int, reach double")
+@dataclass(frozen=True)
+class Pivots:
+    """Cells around pivots, in groups around some of them; ordered so that a group's cells stand together.
+
+    near and far bound the distances of a cell's points from its pivot, reach those of a group's points from its center.
+    """
+
+    cells: np.ndarray
+    centers: np.ndarray
+    starts: np.ndarray
+    sizes: np.ndarray
+    near: np.ndarray
+    far: np.ndarray
+    reach: np.ndarray
+
+    @staticmethod
+    def around(points: np.ndarray) -> Pivots:
+        centers = points[: math.isqrt(max(0, len(points) - 1)) + 1]
+        group = _distances(points, centers).argmin(axis=1)
+        order = np.argsort(group, kind="stable")
+        zeros = np.zeros(len(points))
+        return Pivots(points[order], centers, np.searchsorted(group[order], np.arange(len(centers) + 1)), zeros.astype(np.int64), zeros, zeros, np.zeros(len(centers)))
+
+    def members(self, group: int) -> slice:
+        return slice(int(self.starts[group]), int(self.starts[group + 1]))
+
+    def home(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Cell of each row, its distance from the cell's pivot and from the group's center."""
+        to_center = _distances(x, self.centers)
+        filled = np.diff(self.starts) > 0
+        group = np.where(filled[None, :], to_center, np.inf).argmin(axis=1)
+        cell, reach = np.empty(len(x), dtype=np.int64), np.empty(len(x))
+        for g in np.unique(group):
+            rows = np.flatnonzero(group == g)
+            d = _distances(x[rows], self.cells[self.members(g)])
+            best = d.argmin(axis=1)
+            cell[rows], reach[rows] = best + self.starts[g], d[np.arange(len(rows)), best]
+        return cell, reach, to_center[np.arange(len(x)), group]
+
+    def within(self, x: np.ndarray, bound: np.ndarray) -> list[np.ndarray]:
+        """Cells that can hold a point within its bound of each row."""
+        to_center = _distances(x, self.centers)
+        found: list[list[np.ndarray]] = [[] for _ in x]
+        for g in range(len(self.centers)):
+            own = self.members(g)
+            rows = np.flatnonzero(to_center[:, g] - self.reach[g] - _slack(to_center[:, g], self.reach[g]) <= bound)
+            if own.start == own.stop or not len(rows):
+                continue
+            d = _distances(x[rows], self.cells[own])
+            lower = np.maximum(d - self.far[own], self.near[own] - d) - _slack(d, self.far[own])
+            open_ = (lower <= bound[rows, None]) & (self.sizes[own] > 0)
+            for k, row in enumerate(rows.tolist()):
+                found[row].append(np.flatnonzero(open_[k]) + own.start)
+        return [np.concatenate(f).astype(np.int32) if f else np.empty(0, np.int32) for f in found]
+
+    def enough(self, x: np.ndarray, k: int) -> np.ndarray:
+        """A distance within which each row has k points for sure, infinity if there are not so many."""
+        bound = np.full(len(x), np.inf)
+        order = np.argsort(self.sizes > 0, kind="stable")[::-1]
+        for s in range(0, len(x), 256):
+            part = _distances(x[s : s + 256], self.cells[order]) + self.far[order]
+            by = np.argsort(part, axis=1)
+            upto = np.cumsum(self.sizes[order][by], axis=1) >= k
+            place = upto.argmax(axis=1)
+            at = np.arange(len(part))
+            bound[s : s + 256] = np.where(upto.any(axis=1), part[at, by[at, place]], np.inf)
+        return bound
+
+
+def _slack(d: np.ndarray, reach: np.ndarray | float) -> np.ndarray:
+    return 1e-9 * (d + reach) + 1e-12
+
+
+def _home_cells(pivots: Pivots):
+    @F.pandas_udf("cell int, reach double, center double")
     def home(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for vectors in parts:
-            if len(vectors) == 0:
-                yield pd.DataFrame({"cell": np.empty(0, np.int32), "reach": np.empty(0)})
-                continue
-            d = _pivot_distances(vectors, pivots)
-            cell = d.argmin(axis=1)
-            yield pd.DataFrame({"cell": cell.astype(np.int32), "reach": d[np.arange(len(d)), cell]})
+            cell, reach, center = pivots.home(np.stack(vectors.to_numpy())) if len(vectors) else (np.empty(0, np.int64), np.empty(0), np.empty(0))
+            yield pd.DataFrame({"cell": cell.astype(np.int32), "reach": reach, "center": center})
 
     return home
 
 
-def _open_cells(pivots: np.ndarray, sizes: np.ndarray, reach: np.ndarray, k: int | None, radius: float | None):
-    """Cells that can hold one of the k nearest points, or any point within radius."""
+def _open_cells(pivots: Pivots, k: int | None, radius: float | None):
+    """Cells other than the home cell that can hold a point within the bound of a row."""
 
     @F.pandas_udf("array<int>")
-    def cells(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for vectors in parts:
-            if len(vectors) == 0:
+    def cells(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for vectors, bounds, homes in parts:
+            if not len(vectors):
                 yield pd.Series([], dtype=object)
                 continue
-            d = _pivot_distances(vectors, pivots)
-            bound = np.full(len(d), np.inf)
-            if k is not None:
-                far = d + reach
-                order = np.argsort(far, axis=1)
-                enough = np.cumsum(sizes[order], axis=1) >= k
-                place = np.where(enough.any(axis=1), enough.argmax(axis=1), 0)
-                bound = far[np.arange(len(d)), order[np.arange(len(d)), place]]
-                bound = np.where(enough.any(axis=1), bound, np.inf)
+            x, bound = np.stack(vectors.to_numpy()), bounds.to_numpy(dtype=float, na_value=np.inf)
+            unknown = np.flatnonzero(np.isinf(bound))
+            if k is not None and len(unknown):
+                bound = bound.copy()
+                bound[unknown] = pivots.enough(x[unknown], k)
             if radius is not None:
                 bound = np.minimum(bound, radius)
-            slack = 1e-9 * (d + reach) + 1e-12
-            open_ = (d - reach - slack <= bound[:, None]) & (sizes > 0)
-            yield pd.Series([np.flatnonzero(row).astype(np.int32) for row in open_])
+            yield pd.Series([c[c != h] for c, h in zip(pivots.within(x, bound), homes.to_numpy())])
 
     return cells
 
@@ -121,42 +185,62 @@ def _nearest_in_block(q: pd.DataFrame, p: pd.DataFrame, k: int, radius: float |
 BLOCK_KEYS = ["cell", "chunk", "slice"]
 
 
-def _blocks(q: DataFrame, p: DataFrame, *, k: int | None, radius: float | None, block_rows: int) -> tuple[DataFrame, DataFrame] | None:
-    """Queries (_qid, _qv) and points (_pid, _pv) cut into block pairs that can hold neighbours; None without points."""
+def _cells(p: DataFrame, block_rows: int) -> tuple[DataFrame, Pivots] | None:
+    """Points (_pid, _pv) with their cell, and the pivots; None without points. Points of one block are one cell."""
     p = stash(p)
     n = p.count()
     if n == 0:
         return None
-    m = max(1, min(MAX_PIVOTS, -(-n // block_rows)))
-    chosen = p.orderBy(F.md5(F.col("_pid").cast("string")), "_pid").limit(m).select("_pv").collect()
-    pivots = np.array([r["_pv"] for r in chosen], dtype=float)
-    homed = stash(p.withColumn("_h", _home_cell(pivots)("_pv")).select(*p.columns, F.col("_h.cell").alias("cell"), F.col("_h.reach").alias("reach")))
-    sizes, reach = np.zeros(len(pivots), dtype=np.int64), np.zeros(len(pivots))
-    for r in homed.groupBy("cell").agg(F.count("*").alias("n"), F.max("reach").alias("reach")).collect():
-        sizes[r["cell"]], reach[r["cell"]] = r["n"], r["reach"]
-    targets = stash(q.withColumn("_cells", _open_cells(pivots, sizes, reach, k, radius)("_qv")))
-    asked = {r["cell"]: r["n"] for r in targets.select(F.explode("_cells").alias("cell")).groupBy("cell").agg(F.count("*").alias("n")).collect()}
+    wanted = 1 if n <= block_rows else math.isqrt(n - 1) + 1
+    if wanted == 1:
+        first = np.array([p.first()["_pv"]], dtype=float)
+        return p.withColumn("cell", F.lit(0)), replace(Pivots.around(first), sizes=np.array([n]), far=np.array([np.inf]), reach=np.array([np.inf]))
+    chosen = p.orderBy(F.md5(F.col("_pid").cast("string")), "_pid").limit(wanted).select("_pv").collect()
+    pivots = Pivots.around(np.array([r["_pv"] for r in chosen], dtype=float))
+    homed = stash(p.withColumn("_h", _home_cells(pivots)("_pv")).select(*p.columns, "_h.*"))
+    sizes, near, far = (np.zeros(wanted, dtype=kind) for kind in (np.int64, float, float))
+    reach = np.zeros(len(pivots.centers))
+    group_of = np.repeat(np.arange(len(pivots.centers)), np.diff(pivots.starts))
+    for r in homed.groupBy("cell").agg(F.count("*").alias("n"), F.min("reach").alias("near"), F.max("reach").alias("far"), F.max("center").alias("center")).collect():
+        c = r["cell"]
+        sizes[c], near[c], far[c] = r["n"], r["near"], r["far"]
+        reach[group_of[c]] = max(reach[group_of[c]], r["center"])
+    return homed.drop("reach", "center"), replace(pivots, sizes=sizes, near=near, far=far, reach=reach)
+
+
+def _met(q: DataFrame, p: DataFrame, pivots: Pivots, block_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Queries with the cells they visit (_cells) and points with their cell, cut into pairs of blocks."""
+    q = stash(q)
+    asked = {r["cell"]: r["n"] for r in q.select(F.explode("_cells").alias("cell")).groupBy("cell").agg(F.count("*").alias("n")).collect()}
     # One row per pivot: how many blocks its points and its queries are cut into.
-    plan = p.sparkSession.createDataFrame(
-        [(c, -(-int(sizes[c]) // block_rows), -(-asked[c] // block_rows)) for c in asked], "cell int, chunks int, slices int"
-    )
+    plan = p.sparkSession.createDataFrame([(c, -(-int(pivots.sizes[c]) // block_rows), -(-n // block_rows)) for c, n in asked.items()], "cell int, chunks int, slices int")
     p_blocks = (
-        homed.drop("reach")
-        .join(F.broadcast(plan), "cell")
+        p.join(F.broadcast(plan), "cell")
         .withColumn("chunk", F.pmod(F.xxhash64("_pid"), F.col("chunks")).cast("int"))
         .withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
-        .select(*BLOCK_KEYS, *p.columns)
+        .select(*BLOCK_KEYS, *(c for c in p.columns if c != "cell"))
     )
     q_blocks = (
-        targets.select(*q.columns, F.explode("_cells").alias("cell"))
+        q.select(*(c for c in q.columns if c != "_cells"), F.explode("_cells").alias("cell"))
         .join(F.broadcast(plan), "cell")
         .withColumn("slice", F.pmod(F.xxhash64("_qid"), F.col("slices")).cast("int"))
         .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .select(*BLOCK_KEYS, *q.columns)
+        .select(*BLOCK_KEYS, *(c for c in q.columns if c != "_cells"))
     )
     return q_blocks, p_blocks
 
 
+def _blocks(q: DataFrame, p: DataFrame, *, radius: float, block_rows: int) -> tuple[DataFrame, DataFrame] | None:
+    """Queries (_qid, _qv) and points (_pid, _pv) cut into block pairs that can hold points within radius; None without points."""
+    made = _cells(p, block_rows)
+    if made is None:
+        return None
+    homed, pivots = made
+    none = F.lit(None).cast("double")
+    cells = F.array(F.lit(0)) if len(pivots.cells) == 1 else _open_cells(pivots, None, radius)("_qv", none, F.lit(-1))
+    return _met(q.withColumn("_cells", cells), homed, pivots, block_rows)
+
+
 def nearest(
     queries: DataFrame,
     points: DataFrame,
@@ -176,9 +260,10 @@ def nearest(
     out_type = T.StructType([T.StructField(query_id, q_type), T.StructField("neighbour", p_type), T.StructField("distance", T.DoubleType()), T.StructField("rank", T.IntegerType())])
     p = points.select(col(point_id).alias("_pid"), as_array(points, point_vector).alias("_pv"))
     q = queries.select(col(query_id).alias("_qid"), as_array(queries, query_vector).alias("_qv"))
-    blocks = _blocks(q, p, k=k + 1 if skip_same_id else k, radius=radius, block_rows=block_rows)
-    if blocks is None:
+    made = _cells(p, block_rows)
+    if made is None:
         return queries.sparkSession.createDataFrame([], out_type)
+    homed, pivots = made
     schema = T.StructType([T.StructField("_qid", q_type), T.StructField("_pid", p_type), T.StructField("distance", T.DoubleType())])
 
     def block(_, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -186,10 +271,23 @@ def nearest(
             return pd.DataFrame({"_qid": left["_qid"].iloc[:0], "_pid": right["_pid"].iloc[:0], "distance": np.empty(0)})
         return _nearest_in_block(left, right, k, radius, skip_same_id)
 
-    best = blocks[0].groupBy(*BLOCK_KEYS).cogroup(blocks[1].groupBy(*BLOCK_KEYS)).applyInPandas(block, schema)
-    rank = F.row_number().over(Window.partitionBy("_qid").orderBy("distance", "_pid"))
+    def best_in(table: DataFrame) -> DataFrame:
+        blocks = _met(table, homed, pivots, block_rows)
+        return blocks[0].groupBy(*BLOCK_KEYS).cogroup(blocks[1].groupBy(*BLOCK_KEYS)).applyInPandas(block, schema)
+
+    order = Window.partitionBy("_qid").orderBy("distance", "_pid")
+    if len(pivots.cells) == 1:
+        best = best_in(q.withColumn("_cells", F.array(F.lit(0))))
+    else:
+        homes = stash(q.withColumn("home", _home_cells(pivots)("_qv")["cell"]))
+        first = stash(best_in(homes.select("_qid", "_qv", F.array("home").alias("_cells"))))
+        # The k-th distance at home; a query that met fewer points has none.
+        kth = first.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") == k).select(F.col("_qid").alias("_of"), F.col("distance").alias("bound")).distinct()
+        bounded = homes.join(kth, F.col("_qid") == F.col("_of"), "left")
+        cells = _open_cells(pivots, k + 1 if skip_same_id else k, radius)("_qv", "bound", "home")
+        best = first.unionByName(best_in(bounded.select("_qid", "_qv", cells.alias("_cells"))))
     return (
-        best.withColumn("rank", rank)
+        best.withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)
         .select(F.col("_qid").alias(query_id), F.col("_pid").alias("neighbour"), "distance", "rank")
     )
@@ -210,7 +308,7 @@ def _within(a: np.ndarray, b: np.ndarray, radius: float) -> np.ndarray:
 
 def count_within(table: DataFrame, *, radius: float, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(id, near) for a table of (id, v): rows within radius, the row itself included."""
-    blocks = _blocks(table.select(F.col("id").alias("_qid"), F.col("v").alias("_qv")), table.select(F.col("id").alias("_pid"), F.col("v").alias("_pv")), k=None, radius=radius, block_rows=block_rows)
+    blocks = _blocks(table.select(F.col("id").alias("_qid"), F.col("v").alias("_qv")), table.select(F.col("id").alias("_pid"), F.col("v").alias("_pv")), radius=radius, block_rows=block_rows)
     schema = T.StructType([T.StructField("id", table.schema["id"].dataType), T.StructField("near", T.LongType())])
     if blocks is None:
         return table.sparkSession.createDataFrame([], schema)
@@ -246,7 +344,7 @@ def _block_chains(q_ids: np.ndarray, p_ids: np.ndarray, near: np.ndarray) -> tup
 
 def links_within(table: DataFrame, *, radius: float, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(u, v) links that connect exactly the rows joined by steps of at most radius; at most one chain per block."""
-    blocks = _blocks(table.select(F.col("id").alias("_qid"), F.col("v").alias("_qv")), table.select(F.col("id").alias("_pid"), F.col("v").alias("_pv")), k=None, radius=radius, block_rows=block_rows)
+    blocks = _blocks(table.select(F.col("id").alias("_qid"), F.col("v").alias("_qv")), table.select(F.col("id").alias("_pid"), F.col("v").alias("_pv")), radius=radius, block_rows=block_rows)
     kind = table.schema["id"].dataType
     schema = T.StructType([T.StructField("u", kind), T.StructField("v", kind)])
     if blocks is None:
@@ -266,7 +364,7 @@ def smallest_within(queries: DataFrame, points: DataFrame, *, radius: float, blo
     """(id, number): smallest number of the points (id, v, number) within radius of each query (id, v) that has one."""
     q = queries.select(F.col("id").alias("_qid"), F.col("v").alias("_qv"))
     p = points.select(F.col("id").alias("_pid"), F.col("v").alias("_pv"), F.col("number").cast("bigint").alias("_number"))
-    blocks = _blocks(q, p, k=None, radius=radius, block_rows=block_rows)
+    blocks = _blocks(q, p, radius=radius, block_rows=block_rows)
     schema = T.StructType([T.StructField("id", queries.schema["id"].dataType), T.StructField("number", T.LongType())])
     if blocks is None:
         return queries.sparkSession.createDataFrame([], schema)

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -138,3 +140,26 @@ def test_density_model_labels_new_rows(spark):
     new = spark.createDataFrame([(7, [0.0, 0.0, 0.0, 0.2, 1.0]), (8, [3.0, 0.0, 0.0, 0.0, 1.0])], "row_id int, features array<double>")
     model = model_spec("dbscan", CLUSTERERS).train(train, Training(), min_points=3)
     assert {r["row_id"]: r["prediction"] for r in model.transform(new).collect()} == {7: 0, 8: -1}
+
+
+@pytest.mark.parametrize("rows", [900, 3600])
+def test_queries_visit_few_cells_of_clustered_points(spark, monkeypatch, rows):
+    rng = np.random.default_rng(rows)
+    centers = rng.normal(size=(30, 6)) * 10
+    x = centers[rng.integers(0, 30, rows)] + rng.normal(size=(rows, 6)) * 0.05
+    df = spark.createDataFrame(pd.DataFrame({"id": np.arange(rows), "v": list(x)}))
+    copies = []
+    met = nb._met
+    monkeypatch.setattr(nb, "_met", lambda q, *a: copies.append(q.select(F.size("_cells").alias("n")).agg(F.sum("n")).first()[0]) or met(q, *a))
+    found = nb.nearest(df, df, k=3, query_id="id", point_id="id", query_vector="v", skip_same_id=True, block_rows=100).collect()
+    # One home cell each, and then less than two thirds of the cells a cluster has on average.
+    cells = math.isqrt(rows - 1) + 1
+    assert copies[0] == rows and copies[1] < rows * max(2.0, cells / 15)
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2)) if rows < 1000 else None
+    if d is not None:
+        np.fill_diagonal(d, np.inf)
+        want = np.sort(d, axis=1)[:, :3]
+        got = np.zeros((rows, 3))
+        for r in found:
+            got[r["id"], r["rank"] - 1] = r["distance"]
+        assert np.allclose(got, want)
