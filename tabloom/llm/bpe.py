@@ -14,14 +14,13 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from tabloom.llm.texts import ASCII_SPACE, independent_chunks
+from tabloom.llm.texts import ASCII_SPACE, independent_chunks, kept
 
 LEAF_BYTES = 16
 LEAF_CHARS = 1 << 16
@@ -138,7 +137,11 @@ class BytePairs:
         return self.encode(text[:cut]) + self.encode(text[cut:])
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
+        """The tokens' bytes, halves one after the other."""
+        if len(ids) <= 4 * LEAF_CHARS:
+            return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
+        half = len(ids) // 8 * 4
+        return self.decode(ids[:half]) + self.decode(ids[half:])
 
 
 def _stable_cut(text: str, middle: int) -> int | None:
@@ -154,10 +157,9 @@ def _stable_cut(text: str, middle: int) -> int | None:
         reach *= 2
 
 
-@lru_cache(maxsize=4)
 def encoder(path: str, pattern: str) -> BytePairs:
-    """One encoder per vocabulary and worker process, so that its caches serve all batches."""
-    return BytePairs(path, pattern)
+    """One encoder per worker process, so that its caches serve all batches."""
+    return kept(("bpe", path, pattern), lambda: BytePairs(path, pattern))
 
 
 def encode_documents(docs: DataFrame, *, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +12,20 @@ import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 20
 
+_kept: dict[Any, Any] = {}
+
+
+def kept(key: Any, build: Callable[[], Any]) -> Any:
+    """build(), made once per worker process and kept for its next tasks.
+
+    One object is kept at a time: worker processes outlive a query, and the caches of an operator that has had its turn
+    would take memory from the next one.
+    """
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = build()
+    return _kept[key]
+
 
 def byte_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """(first row, bytes, start of each row, end of each row) for runs of rows of about limit bytes; null is empty.

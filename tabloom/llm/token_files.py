@@ -12,7 +12,6 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain, compress, count
 from operator import not_
 
@@ -20,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tabloom.llm.texts import ASCII_SPACE, independent_chunks
+from tabloom.llm.texts import ASCII_SPACE, independent_chunks, kept
 from tabloom.session import new_folder, shuffle_partitions
 
 CACHE_ENTRIES = 600_000
@@ -119,9 +118,8 @@ class CachedTokenizer:
         return out
 
 
-@lru_cache(maxsize=2)
 def tokenizer(path: str) -> CachedTokenizer:
-    return CachedTokenizer(path)
+    return kept(("tokenizer", path), lambda: CachedTokenizer(path))
 
 
 def write_tokens(docs: DataFrame, target: str, *, path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", files: int | None = None) -> None:
