@@ -210,3 +210,13 @@ count(*) FILTER (p_size < q1 - 1.5 * (q3 - q1) OR p_size > q3 + 1.5 * (q3 - q1))
 )
 def box_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.box_stats(load(spark, sf_dir, "part"), "p_brand", "p_size")
+
+
+@registry.add(
+    "schema_listing",
+    """SELECT (column_index - 1)::INT AS position, column_name AS feature,
+    CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' ELSE 'timestamp_ntz' END AS dtype
+    FROM duckdb_columns() WHERE table_name = 'orders'""",
+)
+def schema_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.schema_listing(load(spark, sf_dir, "orders"))

@@ -68,13 +68,13 @@ def class_map_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT c_custkey, c_nationkey, c_acctbal, c_mktsegment FROM customer",
 )
 def config_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Audit a table, save the config it suggests, read it back and drop the columns it names."""
+    """Audit a table, save the config it suggests, read it back and drop the columns it names; all others stay."""
     df = load(spark, sf_dir, "customer")
     suggested = audit_config(feature_audit(df, target_col="c_mktsegment"), target_col="c_mktsegment", row_id_col="c_custkey").first()
     path = f"{documents.fresh_dir(spark)}/config.json"
     documents.write_document(spark, path, suggested.asDict(recursive=True))
     config = documents.read_config(spark, path)
-    return df.drop(*config.drop_cols).select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+    return df.drop(*config.drop_cols)
 
 
 @registry.add("dated_snapshot", "SELECT * FROM nation")
@@ -125,3 +125,24 @@ def newest_prepared_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
         documents.write_document(spark, f"{root}/{r['r_name']}/manifest.json", {"created_utc": f"2025-01-{r['r_regionkey'] + 1:02d}T00:00:00+00:00"})
     found = runs.newest(runs.prepared_manifests(spark, root), "folder", F.col("created"))
     return found.select(F.regexp_extract("folder", "([^/]+)$", 1).alias("folder"))
+
+
+@registry.add("newest_prepared_by_name", "SELECT max(n_name) AS folder FROM nation")
+def newest_prepared_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One prepared folder per nation, all made at one time; the last name is taken."""
+    root = documents.fresh_dir(spark)
+    names = [r[0] for r in load(spark, sf_dir, "nation").select("n_name").collect()]
+    for name in names:
+        documents.write_document(spark, f"{root}/{name}/manifest.json", {"created_utc": "2025-01-01T00:00:00+00:00"})
+    return spark.createDataFrame([(runs.latest_prepared_by_name(spark, root).rsplit("/", 1)[1],)], "folder string")
+
+
+@registry.add(
+    "typed_csv_fallback",
+    "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f') AS o_orderdate, o_orderpriority FROM orders",
+)
+def typed_csv_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A prepared folder without Parquet: numbers come back as numbers, times stay text."""
+    folder = documents.fresh_dir(spark)
+    tables.write_table(load(spark, sf_dir, "orders"), f"{folder}/cleaned.csv")
+    return tables.read_prepared(spark, folder)

@@ -28,9 +28,12 @@ def is_weekend(ts: Column) -> Column:
     return F.coalesce(F.weekday(ts) >= 5, F.lit(False)).cast("int")
 
 
-def timestamp_features(name: str) -> list[Column]:
-    """Hour, day of week, month and a weekend flag for the named column; text that is no time gives nulls and no weekend."""
-    ts = parse_time(F.col(f"`{name}`"))
+def timestamp_features(name: str, *, typed: bool = False) -> list[Column]:
+    """Hour, day of week, month and a weekend flag for the named column; text that is no time gives nulls and no weekend.
+
+    A column that is typed as a time already is not parsed again.
+    """
+    ts = F.col(f"`{name}`") if typed else parse_time(F.col(f"`{name}`"))
     prefix = underscored(name)
     parts = [c.alias(f"{prefix}_{p}") for p, c in zip(("hour", "dayofweek", "month"), (F.hour(ts), F.weekday(ts), F.month(ts)))]
     return [*parts, is_weekend(ts).alias(f"{prefix}_is_weekend")]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, types as T
 
 from tabloom.functions.calendar import timestamp_features
 from tabloom.functions.ports import port_features
@@ -32,7 +32,8 @@ def feature_table(df: DataFrame, config: FeatureConfig, *, keep: Sequence[str] =
     gone = {*config.drop_cols, config.target_col, config.row_id_col, *(times if drop_original_times else ()), *keep}
     kept = [col(c) for c in keep]
     survivors = [col(c) for c in df.columns if c not in gone]
-    derived = [f for c in times for f in timestamp_features(c)] + [f for c in ports for f in port_features(c)]
+    typed = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))}
+    derived = [f for c in times for f in timestamp_features(c, typed=c in typed)] + [f for c in ports for f in port_features(c)]
     out = df.select(*kept, *survivors, *derived)
     # The drop list holds for derived columns as well.
     return out.drop(*(c for c in out.columns[len(kept) + len(survivors) :] if c in config.drop_cols))

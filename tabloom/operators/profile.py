@@ -241,9 +241,12 @@ def _widened(low: Column, high: Column) -> tuple[Column, Column]:
 
 
 def histogram(df: DataFrame, value: str, *, bins: int = 50, by: Sequence[str] = ()) -> DataFrame:
-    """Equal-width bins over each group's own range; the last bin is closed. Empty bins are listed with 0."""
+    """Equal-width bins over each group's own range; the last bin is closed. Empty bins are listed with 0.
+
+    Nulls, NaN and infinities are in no bin and do not widen the range.
+    """
     keys = [f"_by{i}" for i in range(len(by))]
-    rows = df.select(*(col(b).alias(k) for b, k in zip(by, keys)), col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    rows = df.select(*(col(b).alias(k) for b, k in zip(by, keys)), col(value).cast("double").alias("_v")).filter(F.abs("_v") < float("inf"))
     spans = rows.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi")).filter(F.col("_lo").isNotNull())
     lo, hi = F.col("_lo"), F.col("_hi")
     spans = small_side(spans.withColumns(dict(zip(("_lo", "_hi"), _widened(lo, hi)))))

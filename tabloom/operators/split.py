@@ -245,14 +245,14 @@ def label_mismatches(left: DataFrame, right: DataFrame, *, row_id_col: str, labe
 def join_split(df: DataFrame, split: DataFrame, *, row_id_col: str = "row_id", label_col: str | None = None) -> DataFrame:
     """Inner join of the split label; raises on an empty result or, when the split carries labels, on a label mismatch."""
     if not {row_id_col, "split"} <= set(split.columns):
-        raise ValueError("The split table must contain the row id and split columns")
+        raise ValueError(f"No {row_id_col} or no split among the split table's columns: {split.columns}")
     checked = label_col is not None and label_col in split.columns
     if checked:
         rows, bad = label_mismatches(df, split, row_id_col=row_id_col, label_col=label_col).first()
     else:
         rows, bad = df.select(col(row_id_col)).join(split.select(col(row_id_col)), row_id_col).count(), 0
     if rows == 0:
-        raise ValueError("Split join produced 0 rows; check row id alignment.")
+        raise ValueError(f"The table and its split have 0 rows in common; do both number {row_id_col} alike?")
     if bad:
         raise ValueError(f"Target label mismatch between the table and its split for {bad} rows.")
     return df.join(split.select(col(row_id_col), "split"), row_id_col)

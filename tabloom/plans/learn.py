@@ -149,19 +149,23 @@ def saved_run_leaderboard(spark: SparkSession, runs_root: str, prefix: str) -> D
 def learning_curve(
     train: DataFrame, spec: ModelSpec, *, id_col: str, sizes: Sequence[float] = (0.2, 0.4, 0.6, 0.8, 1.0), folds: int = 3, seed: int = 42, **params: Any
 ) -> DataFrame:
-    """(size, train_rows, train_rmse, val_rmse): mean over folds. Smaller train sets are nested in larger ones."""
+    """(size, train_rows, train_rmse, val_rmse): mean over folds. Smaller train sets are nested in larger ones.
+
+    train has the id, the label and raw features; encoder and scaling are fitted anew on the rows each model sees.
+    """
     digest = F.md5(F.concat_ws(":", F.lit(f"curve{seed}"), col(id_col).cast("string")))
     place = F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(float(16**8))
     table = stash(train.withColumns({"_fold": fold_of(id_col, folds, seed), "_place": place}))
     parts: DataFrame | None = None
     for size in sizes:
         for f in range(folds):
-            inside = table.filter((F.col("_fold") != f) & (F.col("_place") < size))
-            model = spec.train(inside, Training(id_col=id_col), **params)
-            both = table.filter((F.col("_fold") == f) | (F.col("_place") < size)).withColumn("part", F.when(F.col("_fold") == f, "val").otherwise("train"))
-            rows = regression_metrics(model.transform(both), "label", "prediction", ["part"]).withColumns({"size": F.lit(float(size)), "fold": F.lit(f)})
+            inside = (F.col("_fold") != f) & (F.col("_place") < size)
+            both = table.filter(inside | (F.col("_fold") == f)).withColumn("split", F.when(F.col("_fold") == f, "val").otherwise("train")).drop("_fold", "_place")
+            encoded = stash(encode_table(both, id_col=id_col, scale=spec.needs_scaling)[0])
+            model = spec.train(only_split(encoded, "train"), Training(id_col=id_col), **params)
+            rows = regression_metrics(model.transform(encoded), "label", "prediction", ["split"]).withColumns({"size": F.lit(float(size)), "fold": F.lit(f)})
             parts = rows if parts is None else parts.unionByName(rows)
-    is_train = F.col("part") == "train"
+    is_train = F.col("split") == "train"
     return parts.groupBy("size").agg(
         F.round(F.avg(F.when(is_train, F.col("rows")))).cast("bigint").alias("train_rows"),
         F.avg(F.when(is_train, F.col("rmse"))).alias("train_rmse"),

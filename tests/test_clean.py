@@ -40,7 +40,7 @@ def test_error_contract(spark):
         clean.require_columns(df, ["a", "b"])
     with pytest.raises(ValueError, match="sum to 1"):
         clean.check_fractions(0.7, 0.2, 0.2)
-    with pytest.raises(ValueError, match="1 rows have missing/invalid t"):
+    with pytest.raises(ValueError, match="t cannot be read in 1 rows"):
         clean.require_times(df, "t")
     assert clean.resolve_column(df, ["B", " A "]) == "a"
     assert clean.resolve_column(df, ["zzz"]) is None
@@ -136,3 +136,9 @@ def test_time_features_of_text_and_dropped_derived_columns(spark):
     out = feature_table(df, config)
     assert "ts_month" not in out.columns
     assert [(r["ts_hour"], r["ts_is_weekend"]) for r in out.collect()] == [(10, 1), (None, 0)]
+
+
+def test_histogram_leaves_out_what_has_no_place(spark):
+    values = [(0.0,), (1.0,), (4.0,), (None,), (float("nan"),), (float("inf"),), (float("-inf"),)]
+    rows = histogram(spark.createDataFrame(values, "v double"), "v", bins=2).orderBy("bin").collect()
+    assert [(r["left"], r["right"], r["count"]) for r in rows] == [(0.0, 2.0, 2), (2.0, 4.0, 1)]

@@ -68,7 +68,7 @@ def test_snapshot_is_immutable_unless_forced(spark, tmp_path):
     folder = tables.snapshot(df, str(tmp_path), **kwargs)
     assert folder.endswith("owner_name_x/snapshot_date=2025-12-29")
     assert documents.read_document(spark, f"{folder}/provenance.json")["dataset"] == "owner/name x"
-    with pytest.raises(RuntimeError, match="already exists"):
+    with pytest.raises(RuntimeError, match="holds a snapshot"):
         tables.snapshot(df, str(tmp_path), **kwargs)
     tables.snapshot(df.union(df), str(tmp_path), force=True, **kwargs)
     assert spark.read.parquet(f"{folder}/data").count() == 2
@@ -112,7 +112,7 @@ def test_prepare_train_infer_and_compare(spark, tmp_path):
     report = documents.read_document(spark, made.manifest)["time_split"]["report"]
     assert report == {"rows": 400, "train_rows": 280, "val_rows": 60, "test_rows": 60, "train_target": 280, "val_target": 340}
 
-    for slug, params in (("random_forest", {"trees": 5, "max_depth": 6}), ("xgboost", {"rounds": 2, "max_depth": 2})):
+    for slug, params in (("random_forest", {"trees": 5, "max_depth": 6}), ("xgboost", {"rounds": 20, "max_depth": 2, "rate": 0.3})):
         saved = learn.train_classifier(spark, prepared_root=f"{root}/prepared", runs_root=f"{root}/runs", slug=slug, prefix="attack_type", **params)
         assert set(saved) == {"model", "metrics", "test_predictions", "manifest"}
         metrics = documents.read_document(spark, saved["metrics"])
@@ -148,3 +148,20 @@ def test_broken_model_names_the_versions(spark, tmp_path):
         runs.load_model(spark, path)
     with pytest.raises(FileNotFoundError):
         runs.load_model(spark, str(tmp_path / "none"))
+
+
+def test_csv_fallback_has_types(spark, tmp_path):
+    rows = [("row_1", "1", "1.5", "true", "2024-01-01", None, "a\nb"), ("row_2", None, "2", "false", "x", None, "7")]
+    df = spark.createDataFrame(rows, "row_id string, i string, d string, b string, t string, n string, s string")
+    tables.write_table(df, f"{tmp_path}/cleaned.csv")
+    found = tables.read_prepared(spark, str(tmp_path))
+    assert dict(found.dtypes) == {"row_id": "string", "i": "bigint", "d": "double", "b": "boolean", "t": "string", "n": "string", "s": "string"}
+    assert sorted(map(tuple, found.collect())) == [("row_1", 1, 1.5, True, "2024-01-01", None, "a\nb"), ("row_2", None, 2.0, False, "x", None, "7")]
+
+
+def test_manifest_blocks(spark, tmp_path):
+    path = f"{tmp_path}/manifest.json"
+    assert runs.update_manifest(spark, path, {"time_split": {}}) is None and not documents.path_exists(spark, path)
+    documents.write_document(spark, path, {"rows": 1, "artifacts": {"split": "s"}})
+    runs.update_manifest(spark, path, {"artifacts": {"split_time": "t"}, "time_split": {"strategy": "x"}})
+    assert documents.read_document(spark, path) == {"rows": 1, "artifacts": {"split": "s", "split_time": "t"}, "time_split": {"strategy": "x"}}
