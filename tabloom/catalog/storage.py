@@ -127,11 +127,11 @@ def newest_prepared_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.regexp_extract("folder", "([^/]+)$", 1).alias("folder"))
 
 
-@registry.add("newest_prepared_by_name", "SELECT max(n_name) AS folder FROM nation")
+@registry.add("newest_prepared_by_name", "SELECT max(r_name) AS folder FROM region")
 def newest_prepared_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One prepared folder per nation, all made at one time; the last name is taken."""
+    """One prepared folder per region, all made at one time; the last name is taken."""
     root = documents.fresh_dir(spark)
-    names = [r[0] for r in load(spark, sf_dir, "nation").select("n_name").collect()]
+    names = [r[0] for r in load(spark, sf_dir, "region").select("r_name").collect()]
     for name in names:
         documents.write_document(spark, f"{root}/{name}/manifest.json", {"created_utc": "2025-01-01T00:00:00+00:00"})
     return spark.createDataFrame([(runs.latest_prepared_by_name(spark, root).rsplit("/", 1)[1],)], "folder string")

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tabloom.session import small_side, stash
 
 RADIX_GROUPS = 10_000
-DIGIT_BITS = 13
+DIGIT_BITS = 16
 SIGN = np.uint64(1 << 63)
 
 
