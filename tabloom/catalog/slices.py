@@ -40,6 +40,18 @@ def pivot_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slices.pivot_counts(counts, "p_brand", "p_type", values=TYPES)
 
 
+@registry.add(
+    "ranked_counts",
+    """WITH c AS (SELECT p_brand, p_name, count(*) AS count FROM part GROUP BY ALL),
+    r AS (SELECT p_brand, row_number() OVER (ORDER BY sum(count) DESC, p_brand) - 1 AS row_place FROM c GROUP BY 1),
+    k AS (SELECT p_name, row_number() OVER (ORDER BY sum(count) DESC, p_name) - 1 AS column_place FROM c GROUP BY 1)
+    SELECT p_brand, p_name, count, row_place, column_place FROM c JOIN r USING (p_brand) JOIN k USING (p_name)""",
+)
+def ranked_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Brands by part names, more names than a wide table could have columns."""
+    return slices.ranked_counts(slices.count_by(load(spark, sf_dir, "part"), ["p_brand", "p_name"]), "p_brand", "p_name")
+
+
 @registry.add("pivot_ordered_by_total", f"SELECT p_brand, {filtered_counts('p_type', TYPES)}, count(*) AS total FROM part GROUP BY 1 ORDER BY total DESC, p_brand")
 def pivot_ordered_by_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slices.cross_counts(load(spark, sf_dir, "part"), "p_brand", "p_type")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tabloom.session import shuffle_partitions, small_side, stash
 
@@ -19,10 +19,19 @@ def _quoted(names: Sequence[str]) -> list[Column]:
     return [F.col("`" + n.replace("`", "``") + "`") for n in names]
 
 
+def _row_hash(df: DataFrame) -> Column:
+    """A hash of all columns that can be hashed: it tells rows of equal keys apart, the same way in any partitioning."""
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return F.xxhash64(*_quoted(plain)) if plain else F.lit(0).cast("long")
+
+
 def range_blocks(df: DataFrame, keys: Sequence[str | Column], *, blocks: int | None = None) -> DataFrame:
-    """Freeze df in key order with _block (range number) and _pos (place inside the range)."""
-    order = [F.col("`" + k.replace("`", "``") + "`") if isinstance(k, str) else k for k in keys]
-    ranged = df.repartitionByRange(blocks or shuffle_partitions(df), *order).sortWithinPartitions(*order)
+    """Freeze df in key order with _block (range number) and _pos (place inside the range).
+
+    Rows of equal keys are in order of a hash of the row, so one key that half of all rows have fills many ranges.
+    """
+    order = [F.col("`" + k.replace("`", "``") + "`") if isinstance(k, str) else k for k in keys] + [F.col("_tie")]
+    ranged = df.withColumn("_tie", _row_hash(df)).repartitionByRange(blocks or shuffle_partitions(df), *order).sortWithinPartitions(*order).drop("_tie")
     mark = F.monotonically_increasing_id()
     return stash(
         ranged.withColumn("_mark", mark).withColumns(

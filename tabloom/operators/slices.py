@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabloom.functions.text import label_or
 from tabloom.operators.clean import col
+from tabloom.operators.ordered import number_rows
+from tabloom.session import small_side
 
 
 def count_by(df: DataFrame, keys: Sequence[str], *, missing: str | None = None, merge_unknown: bool = False) -> DataFrame:
@@ -37,15 +39,40 @@ def with_share(counts: DataFrame, by: Sequence[str] = (), *, value: str = "count
     return counts.join(totals, on).withColumn(name, share).drop("_total", *(f"_by{i}" for i in range(len(by))))
 
 
-def column_values(df: DataFrame, key: str) -> list:
+MOST_COLUMNS = 1000
+
+
+def _listed(values: DataFrame, key: str, most: int) -> list:
+    """The rows of values, which become columns; more than `most` are refused before anything is pivoted."""
+    found = [r[0] for r in values.limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"{key} has {values.count()} values; a wide table takes {most} at most, ranked_counts has no limit")
+    return found
+
+
+def column_values(df: DataFrame, key: str, *, most: int = MOST_COLUMNS) -> list:
     """Distinct values in order: the column list of a pivot."""
-    return [r[0] for r in df.select(col(key)).distinct().orderBy(col(key)).collect()]
+    return _listed(df.select(col(key)).distinct().orderBy(col(key)), key, most)
 
 
-def values_by_total(counts: DataFrame, key: str, *, value: str = "count") -> list:
+def values_by_total(counts: DataFrame, key: str, *, value: str = "count", most: int = MOST_COLUMNS) -> list:
     """Distinct values, largest total first: the column list of a pivot ordered by size."""
     totals = counts.groupBy(col(key)).agg(F.sum(value).alias("_t"))
-    return [r[0] for r in totals.orderBy(F.desc("_t"), col(key)).select(col(key)).collect()]
+    return _listed(totals.orderBy(F.desc("_t"), col(key)).select(col(key)), key, most)
+
+
+def ranked_counts(counts: DataFrame, row: str, column: str, *, value: str = "count") -> DataFrame:
+    """The pivot in long form: counts with row_place and column_place from 0, by total, largest first, then by key.
+
+    For any number of rows and columns: places are numbered by ranges, and cells that would be 0 have no row. Null is a
+    key like any other, the first among equals.
+    """
+    out = counts
+    for key, place in ((row, "row_place"), (column, "column_place")):
+        totals = counts.groupBy(col(key).alias("_key")).agg(F.sum(value).alias("_total"))
+        placed = small_side(number_rows(totals, [F.desc("_total"), F.asc("_key")], name=place).select("_key", place))
+        out = out.join(placed, col(key).eqNullSafe(F.col("_key"))).drop("_key")
+    return out
 
 
 def pivot_counts(counts: DataFrame, row: str, column: str, *, values: Sequence | None = None, value: str = "count") -> DataFrame:

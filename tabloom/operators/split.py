@@ -247,25 +247,31 @@ def join_split(df: DataFrame, split: DataFrame, *, row_id_col: str = "row_id", l
     if not {row_id_col, "split"} <= set(split.columns):
         raise ValueError(f"No {row_id_col} or no split among the split table's columns: {split.columns}")
     checked = label_col is not None and label_col in split.columns
+    told = F.lit(False)
+    other = split.select(col(row_id_col), "split")
     if checked:
-        rows, bad = label_mismatches(df, split, row_id_col=row_id_col, label_col=label_col).first()
-    else:
-        rows, bad = df.select(col(row_id_col)).join(split.select(col(row_id_col)), row_id_col).count(), 0
+        other = split.select(col(row_id_col), "split", col(label_col).cast("string").alias("_other"))
+        told = ~col(label_col).cast("string").eqNullSafe(F.col("_other"))
+    # Joined once: the checks read what is handed on.
+    joined = stash(df.join(other, row_id_col).withColumn("_differs", told))
+    rows, bad = joined.agg(F.count("*"), F.count_if("_differs")).first()
     if rows == 0:
         raise ValueError(f"The table and its split have 0 rows in common; do both number {row_id_col} alike?")
     if bad:
         raise ValueError(f"Target label mismatch between the table and its split for {bad} rows.")
-    return df.join(split.select(col(row_id_col), "split"), row_id_col)
+    return joined.drop("_other", "_differs")
 
 
 def attach_split(df: DataFrame, split: DataFrame, *, row_id_col: str = "row_id", require_all: bool = True) -> DataFrame:
     """Left join of the split label; by default every row must have one."""
-    joined = df.join(split.select(col(row_id_col), "split"), row_id_col, "left")
+    known = split.select(col(row_id_col), "split", F.lit(True).alias("_known"))
+    joined = df.join(known, row_id_col, "left")
     if require_all:
-        missing = df.select(col(row_id_col)).join(split.select(col(row_id_col)), row_id_col, "left_anti").count()
+        joined = stash(joined)
+        missing = joined.filter(F.col("_known").isNull()).count()
         if missing:
             raise ValueError(f"{missing} rows have no split")
-    return joined
+    return joined.drop("_known")
 
 
 def only_split(df: DataFrame, name: str) -> DataFrame:

@@ -130,3 +130,20 @@ def test_pivot_of_an_empty_table(spark):
     assert slices.count_by(empty, ["y", "p"]).count() == 0
     assert slices.pivot_counts(slices.count_by(empty, ["y", "p"]), "y", "p", values=["u"]).count() == 0
     assert profile.null_fractions(empty).collect()[0]["missing_fraction"] == 0.0
+
+
+def test_wide_pivots_are_refused_and_long_ones_are_not(spark):
+    df = spark.range(3000).select((F.col("id") % 3).alias("r"), F.concat(F.lit("c"), F.col("id") % 1500).alias("c"))
+    counts = slices.count_by(df, ["r", "c"])
+    with pytest.raises(ValueError, match="1500 values"):
+        slices.pivot_counts(counts, "r", "c")
+    with pytest.raises(ValueError, match="3 values"):
+        slices.column_values(df, "r", most=2)
+    rows = slices.ranked_counts(counts, "r", "c").collect()
+    assert len(rows) == counts.count() and {r["row_place"] for r in rows} == {0, 1, 2} and {r["column_place"] for r in rows} == set(range(1500))
+
+
+def test_ranked_counts_take_null_as_a_key(spark):
+    df = spark.createDataFrame([("a", None), ("a", None), (None, "x"), ("b", "y")], "r string, c string")
+    rows = {(r["r"], r["c"]): (r["row_place"], r["column_place"]) for r in slices.ranked_counts(slices.count_by(df, ["r", "c"]), "r", "c").collect()}
+    assert rows == {("a", None): (0, 0), (None, "x"): (1, 1), ("b", "y"): (2, 2)}

@@ -98,3 +98,14 @@ def test_quantiles_take_at_most_six_passes_and_never_join_rows(skewed, monkeypat
     for counts in plans:
         text = counts._jdf.queryExecution().optimizedPlan().toString()
         assert "Join" not in text and "Sort" not in text
+
+
+def test_a_hot_key_fills_many_ranges(spark):
+    rows = spark.range(4000).select("id", F.when(F.col("id") % 2 == 0, F.lit(-7)).otherwise(F.col("id")).alias("t"))
+    frozen = ordered.range_blocks(rows, ["t"], blocks=8)
+    sizes = [r["count"] for r in frozen.groupBy("_block").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 1000
+    number = lambda df: {r["id"]: r["n"] for r in ordered.number_rows(df, ["t"], name="n").collect()}
+    once = number(rows)
+    assert sorted(once.values()) == list(range(4000)) and once == number(rows.repartition(5))
+    assert max(n for i, n in once.items() if i % 2 == 0) - min(n for i, n in once.items() if i % 2 == 0) == 1999
