@@ -7,6 +7,7 @@ gives, divided by the share that texts of the language reach, and the largest de
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from tabloom.llm.texts import byte_slices
 
 UNKNOWN = "und"
-MAX_LANGUAGES = 64
+PLANE_BITS = 64
 HASHES = 2
 SPACE = 32
 
@@ -50,6 +51,8 @@ def grams(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.nd
 
 @dataclass
 class LanguageFilter:
+    """slots has a row for each 64 languages; a language's bit stands in the row of its number."""
+
     languages: list[str]
     slots: np.ndarray
     chance: np.ndarray
@@ -57,21 +60,26 @@ class LanguageFilter:
     fallback: int
 
     def places(self, found: np.ndarray) -> list[np.ndarray]:
-        shift = np.uint32(33 - len(self.slots).bit_length())
+        shift = np.uint32(33 - self.slots.shape[1].bit_length())
         mixed = found ^ (found >> np.uint32(15))
         # Odd multipliers for spreading grams over slots.
         return [(mixed * np.uint32(m)) >> shift for m in (2654435761, 2246822519)][:HASHES]
 
     def lookup(self, found: np.ndarray) -> np.ndarray:
         a, b = self.places(found)
-        return self.slots[a] & self.slots[b]
+        return self.slots[:, a] & self.slots[:, b]
+
+    def bits(self, masks: np.ndarray, k: int) -> np.ndarray:
+        """Language k's bits of masks (or of the slots)."""
+        kind = masks.dtype.type
+        return (masks[k // PLANE_BITS] >> kind(k % PLANE_BITS)) & kind(1)
 
     def decide(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         found, bounds = grams(data, starts, ends)
         masks = self.lookup(found)
         hits = np.zeros((len(starts), len(self.languages)))
         for k in range(len(self.languages)):
-            counted = np.concatenate([[0], np.cumsum((masks >> self.slots.dtype.type(k)) & self.slots.dtype.type(1), dtype=np.int64)])
+            counted = np.concatenate([[0], np.cumsum(self.bits(masks, k), dtype=np.int64)])
             hits[:, k] = counted[bounds[:, 1]] - counted[bounds[:, 0]]
         n = (bounds[:, 1] - bounds[:, 0])[:, None]
         true = np.maximum(0.0, (hits - n * self.chance) / np.maximum(1e-9, 1 - self.chance))
@@ -85,18 +93,16 @@ def fit_filter(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_c
 
     Of each language at most about fit_rows rows are read, chosen by a hash of the id: the fit's size is bounded, and
     with fewer rows all are used. A language holds a gram if the gram's share among its grams is at least an eighth of
-    the largest share in any language; the most frequent grams_per_language of them enter the filter. At most 64
-    languages (ValueError beyond).
+    the largest share in any language; the most frequent grams_per_language of them enter the filter. Any number of
+    languages; the filter has a bit for each in every slot.
     """
     known = docs.filter(learn & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()}
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"More than {MAX_LANGUAGES} languages")
+    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}  # one row a language
     languages = sorted(counts)
     if not languages:
-        return LanguageFilter([UNKNOWN], np.zeros(1 << slot_bits, np.uint8), np.zeros(1), np.ones(1), 0)
+        return LanguageFilter([UNKNOWN], np.zeros((1, 1 << slot_bits), np.uint8), np.zeros(1), np.ones(1), 0)
     space = 1 << 30
-    share = F.coalesce(*[F.when(F.col("lang") == x, F.lit(min(space, space * fit_rows // counts[x]))) for x in languages])
+    share = F.try_element_at(F.from_json(F.lit(json.dumps({x: min(space, space * fit_rows // counts[x]) for x in languages})), "map<string,bigint>"), F.col("lang"))
     chosen = known.filter(F.pmod(F.xxhash64("id"), F.lit(space)) < share)
     place = {x: k for k, x in enumerate(languages)}
 
@@ -119,15 +125,15 @@ def fit_filter(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_c
     top = contained.withColumn("place", F.row_number().over(totals.orderBy(F.desc("n"), "gram"))).filter(F.col("place") <= grams_per_language)
     rows = top.select("lang", "gram", "share").toPandas()  # at most grams_per_language rows a language
 
-    kind = next(t for bits, t in ((8, np.uint8), (16, np.uint16), (32, np.uint32), (64, np.uint64)) if len(languages) <= bits)
-    out = LanguageFilter(languages, np.zeros(1 << slot_bits, kind), np.zeros(len(languages)), np.ones(len(languages)), 0)
+    kind = next((t for bits, t in ((8, np.uint8), (16, np.uint16), (32, np.uint32)) if len(languages) <= bits), np.uint64)
+    out = LanguageFilter(languages, np.zeros((-(-len(languages) // PLANE_BITS), 1 << slot_bits), kind), np.zeros(len(languages)), np.ones(len(languages)), 0)
     out.fallback = max(range(len(languages)), key=lambda k: (counts[languages[k]], -k))
     for k in range(len(languages)):
         mine = rows[rows["lang"] == k]
         for at in out.places(mine["gram"].to_numpy(dtype=np.uint32)):
-            out.slots[np.unique(at)] |= kind(1 << k)
+            out.slots[k // PLANE_BITS, np.unique(at)] |= kind(1 << k % PLANE_BITS)
         out.reach[k] = max(1e-9, float(mine["share"].sum()))
-        out.chance[k] = float(((out.slots >> kind(k)) & kind(1)).mean()) ** HASHES
+        out.chance[k] = float(out.bits(out.slots, k).mean()) ** HASHES
     return out
 
 
@@ -158,12 +164,14 @@ def identify(docs: DataFrame, fitted: LanguageFilter, *, text_col: str = "text",
             columns = [*batch.columns[2:], pa.array(languages, pa.string()), pa.array(np.concatenate(scores))]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, "lang", "score"])
 
-    text = F.col(f"`{text_col}`")
-    lettered = F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
-    source = docs.select(text.alias("text"), lettered.alias("lettered"), *[F.col(f"`{c}`").alias(n) for n, c in zip(names, kept)])
+    source = docs.select(F.col(f"`{text_col}`").alias("text"), has_letter(text_col).alias("lettered"), *[F.col(f"`{c}`").alias(n) for n, c in zip(names, kept)])
     return source.mapInArrow(run, schema).toDF(*kept, pred_col, score_col)
 
 
+def has_letter(text_col: str = "text") -> Column:
+    return F.coalesce(F.col(f"`{text_col}`").rlike(r"\p{L}"), F.lit(False))
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
