@@ -6,7 +6,6 @@ from functools import partial
 from typing import Any
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabloom.catalog import Registry, load
@@ -167,15 +166,10 @@ for _slug, _slope, _params in (
     "SELECT l_returnflag, round(regr_intercept(l_extendedprice, l_quantity), 3) AS intercept, round(regr_slope(l_extendedprice, l_quantity), 3) AS slope FROM lineitem GROUP BY 1",
 )
 def least_squares_line(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One line per return flag, fitted in one pass over one-hot interactions."""
+    """One line per return flag, one aggregate."""
     df = load(spark, sf_dir, "lineitem")
-    flags = sorted(r[0] for r in df.select("l_returnflag").distinct().collect())
-    terms = [t for f in flags for t in ((F.col("l_returnflag") == f).cast("double"), F.when(F.col("l_returnflag") == f, F.col("l_quantity")).otherwise(0.0))]
-    rows = df.select(array_to_vector(F.array(*terms)).alias("features"), F.col("l_extendedprice").alias("label"))
-    fit = LinearRegression(fitIntercept=False, regParam=0.0, solver="normal").fit(rows).coefficients
-    lines = [(f, float(fit[2 * i]), float(fit[2 * i + 1])) for i, f in enumerate(flags)]
-    out = spark.createDataFrame(lines, "l_returnflag string, intercept double, slope double")
-    return out.select("l_returnflag", F.round("intercept", 3).alias("intercept"), F.round("slope", 3).alias("slope"))
+    fit = [F.round(f("l_extendedprice", "l_quantity"), 3).alias(n) for f, n in ((F.regr_intercept, "intercept"), (F.regr_slope, "slope"))]
+    return df.groupBy("l_returnflag").agg(*fit)
 
 
 def embedding_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
