@@ -24,7 +24,7 @@ from tabloom.llm.texts import ASCII_SPACE, independent_chunks, kept
 
 LEAF_BYTES = 16
 LEAF_CHARS = 1 << 16
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES, CACHE_PIECES = 400_000, 100_000  # pieces are asked for only where their chunk is new
 
 
 class BytePairs:
@@ -107,7 +107,7 @@ class BytePairs:
             data = piece.encode()
             found = [data] if data in self.ranks else self._tree(data)
             known = np.array([self.ranks[t] for t in found], dtype="<u4").tobytes()
-            if len(self.pieces) >= CACHE_ENTRIES:
+            if len(self.pieces) >= CACHE_PIECES:
                 self.pieces.clear()
             self.pieces[piece] = known
         return known

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tabloom.llm.texts import byte_slices
+from tabloom.llm.texts import byte_slices, kept as caches_kept
 
 UNKNOWN = "und"
 PLANE_BITS = 64
@@ -107,6 +107,7 @@ def fit_filter(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_c
     place = {x: k for k, x in enumerate(languages)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        caches_kept("language", dict)  # lets go of what other operators' tasks have left in this process
         for batch in batches:
             of = np.array([place[x] for x in batch.column(1).to_pylist()])
             for first, data, starts, ends in byte_slices(batch.column(0), 4 << 20):
@@ -152,6 +153,7 @@ def identify(docs: DataFrame, fitted: LanguageFilter, *, text_col: str = "text",
     schema = T.StructType([*fields, T.StructField("lang", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        caches_kept("language", dict)
         model = shared.value
         for batch in batches:
             languages, scores = [], [np.empty(0)]
