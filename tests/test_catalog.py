@@ -11,7 +11,7 @@ import __spark_entry__ as driver
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-SLOW = ("density_", "prepare", "create_time_split", "regress_", "train", "config_round_trip")
+SLOW = ("boosted_", "density_", "prepare", "create_time_split", "regress_", "train", "config_round_trip")
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
