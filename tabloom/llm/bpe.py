@@ -24,7 +24,7 @@ from tabloom.llm.texts import ASCII_SPACE, independent_chunks, kept
 
 LEAF_BYTES = 16
 LEAF_CHARS = 1 << 16
-CACHE_ENTRIES, CACHE_PIECES = 400_000, 100_000  # pieces are asked for only where their chunk is new
+CACHE_ENTRIES, CACHE_PIECES = 250_000, 100_000  # pieces are asked for only where their chunk is new
 
 
 class BytePairs:
