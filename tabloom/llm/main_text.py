@@ -3,7 +3,8 @@
 Markup is stripped to a list of lines, one for each block of the page. A line's weight is its text outside links; lines
 of menus, forms, notices and the like weigh nothing. Weights are summed over sliding windows of lines: a region surges
 where a window's sum rises above a threshold and dives where no weight follows within a window; the text between is
-kept. Where the page marks its article, lines outside it weigh nothing and any weight makes a surge.
+kept. This decides on every page. Where the page marks its article and the marked lines hold at least half of its text
+outside links, the mark moves weights by one threshold: up for marked lines, down for all others.
 """
 
 from __future__ import annotations
@@ -31,6 +32,9 @@ NOISE = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|adslot|banner\w*|breadcrumbs?|captcha|combx|comments?|comment(?:list|section|area|form)?|contentinfo|cookies?|consent|disqus|disclaimer|footer|foot|gdpr|header|masthead|login|menu\w*|modal|nav|navbar|navigation|newsletter|notice|notification|outbrain|pager|pagination|popup|promo\w*|related|recommend\w*|replies|reply|respond|search|share|sharing|shoutbox|sidebar|side-bar|signup|skip|social|sponsor\w*|subscribe|taboola|tags|toolbar|topbar|widget|alert|complementary)(?:$|[\s_-])",
     re.I,
 )
+# Inside an article a compound name marks noise only if all its words do, but for words that say nothing of the content.
+FIRM_NOISE = re.compile(r"ads?|advert\w*|adsense|adslot|comments?|comment(?:list|section|area|form)|disqus|outbrain|replies|shoutbox|sponsor\w*|taboola", re.I)
+NEUTRAL = re.compile(r"area|article|articles|bar|block|bottom|box|button|buttons|center|container|entry|group|icons|inline|inner|item|items|left|links?|list|main|outer|page|panel|post|posts|right|row|section|side|signup|site|slot|stories|the|this|tools|top|unit|wrap|wrapper|\d*", re.I)
 ARTICLE = re.compile(r"(?:^|[\s_-])(?:article(?:-?body|-?content|-?text)?|post-?(?:body|content|text)|entry-?content|story-?(?:body|content)|main-?(?:content|text))(?:$|[\s_])", re.I)
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 ATTRIBUTE = re.compile(r"(?:^|[\s/\"'])(class|id|role|aria-label|itemprop|hidden|style|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
@@ -53,6 +57,20 @@ class Element:
     link: bool
 
 
+def _names_noise(value: str, inside: bool, whole: bool) -> bool:
+    """Whether a class, id or role (each of its names by itself) or a label (as a whole) tells what is not the article."""
+    if not inside or not NOISE.search(value):
+        return bool(NOISE.search(value))
+    for name in [value] if whole else value.split():
+        words = re.split(r"[\s_-]+", name)
+        noisy = [w for w in words if NOISE.search(w) and w.lower() != "header"] or (["header"] if len(words) > 1 and words[0].lower() in ("site", "page", "top") else [])
+        if NOISE.fullmatch(name) and noisy or any(map(FIRM_NOISE.fullmatch, words)):
+            return True
+        if noisy and all(w in noisy or w.lower() == "header" or NEUTRAL.fullmatch(w) for w in words):
+            return True
+    return False
+
+
 def _marks(name: str, attributes: str, inside: bool) -> tuple[bool, bool]:
     """(is not the article, is the article) for an element's own name and attributes."""
     noise, article = name in HIDDEN or (name == "header" and not inside), name in ("article", "main")
@@ -65,7 +83,7 @@ def _marks(name: str, attributes: str, inside: bool) -> tuple[bool, bool]:
                 article |= value.lower() == "articlebody"
             elif key in ("class", "id", "role", "aria-label"):
                 article |= key != "aria-label" and bool(ARTICLE.search(value)) or (key == "role" and value.lower() in ("main", "article"))
-                noise |= name not in ("html", "body", "article", "main") and bool(NOISE.search(value))
+                noise |= name not in ("html", "body", "article", "main") and _names_noise(value, inside, key == "aria-label")
     return noise, article and not noise
 
 
@@ -158,16 +176,27 @@ def regions(weights: list[int], window: int = WINDOW_LINES, surge: int = SURGE_C
     return found
 
 
+def line_weights(lines: list[Line], surge: int = SURGE_CHARS) -> list[int]:
+    """The lines' weights, moved by a mark that can be trusted.
+
+    A page's marks are trusted together if their lines hold at least half of the text outside links: teasers do not.
+    Then a marked line weighs surge more, so that no line of the article is too short to count, and any other line surge
+    less, so that only text as long as a surge counts there.
+    """
+    marked = sum(x.weight for x in lines if x.inside)
+    if not any(x.inside and not x.noise for x in lines) or 2 * marked < sum(x.weight for x in lines):
+        return [x.weight for x in lines]
+    return [0 if x.noise else x.weight + surge if x.inside else max(0, x.weight - surge) for x in lines]
+
+
 def main_text(page: str | None) -> str:
     """The article's blocks, one a line; empty for null, empty and textless pages.
 
-    Without a marked article the surging regions are kept; if no window surges, the lines that are not noise are kept.
+    The surging regions without their noise; if no window surges, all lines that are not noise.
     """
     lines = page_lines(page) if page else []
-    marked = any(x.inside and x.text for x in lines)
-    weights = [(x.weight or int(not x.noise and x.inside)) if x.inside or not marked else 0 for x in lines]
-    found = regions(weights, surge=1 if marked else SURGE_CHARS) or ([(0, len(lines) - 1)] if not marked else [])
-    return "\n".join(x.text for a, b in found for x in lines[a : b + 1] if not x.noise and (x.inside or not marked))
+    found = regions(line_weights(lines)) or [(0, len(lines) - 1)]
+    return "\n".join(x.text for a, b in found for x in lines[a : b + 1] if not x.noise)
 
 
 def extract_pages(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

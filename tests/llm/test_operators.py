@@ -229,6 +229,32 @@ def test_unmarked_article_and_odd_pages(spark):
     assert [tuple(r) for r in main_text.extract_pages(pages).orderBy("page_id").collect()] == [(1, None, "", 0), (2, "u", "é", 1)]
 
 
+LONG = "A long sentence of the article that goes on for a while, " * 4
+TEASER = "<article class=card><h3>Other</h3><p>A short teaser for another page of this site, which is not the article.</p></article>"
+
+
+def test_lines_decide_with_marks_as_weight():
+    whole = LONG.strip()
+    # An article in plain blocks beside a marked teaser.
+    links = "<ul><li><a href=x>a</a><li><a href=x>b</a><li><a href=x>c</a></ul>"
+    assert main_text.main_text(f"<div><h1>Head</h1><p>{LONG}</p><p>{LONG}</p></div>{links}{TEASER}").startswith(f"Head\n{whole}\n{whole}")
+    # Text beside a trusted mark counts if it surges by itself; short lines do not.
+    assert main_text.main_text(f"<div>By me</div><div>{LONG}</div><article><p>{LONG}</p><p>End.</p><p>{LONG}</p></article><div>All rights</div>") == f"{whole}\n{whole}\nEnd.\n{whole}"
+    # No line of a marked article is lost, whatever stands between.
+    assert main_text.main_text(f"<article><p>{LONG}</p><aside><p>a</p><p>b</p><p>c</p><p>d</p></aside><p>End.</p></article>") == f"{whole}\nEnd."
+
+
+@pytest.mark.parametrize("name, kept", [("notice-text", True), ("related-work", True), ("entry-header", True), ("notice", False), ("related-posts", False), ("share-buttons", False), ("ad-text", False), ("site-header", False)])
+def test_names_inside_an_article(name, kept):
+    assert main_text.main_text(f"<article><p>{LONG}</p><div class='{name}'><p>Some words.</p></div></article>") == LONG.strip() + "\nSome words." * kept
+
+
+def test_given_pages_without_their_marks_give_the_same_blocks():
+    pages = pytest.importorskip("pyarrow.parquet").read_table("/root/testdata/sf0.001/pages.parquet").column("html").to_pylist()
+    same = [main_text.main_text(p) == main_text.main_text(re.sub(r"<(/?)article\b", r"<\1div", p)) for p in pages]
+    assert sum(same) >= 0.9 * len(same)
+
+
 def test_vector_links_reach_the_recall(spark):
     rng = np.random.default_rng(4)
     base = rng.normal(size=(60, 16))
