@@ -101,12 +101,15 @@ class BytePairs:
         half = len(data) // 2
         return self._join(self._tree(data[:half]), self._tree(data[half:]))
 
+    def _ids(self, piece: str) -> bytes:
+        data = piece.encode()
+        found = [data] if data in self.ranks else self._tree(data)
+        return np.array([self.ranks[t] for t in found], dtype="<u4").tobytes()
+
     def _piece(self, piece: str) -> bytes:
-        known = self.pieces.get(piece)
+        known = self.pieces.get(piece) or self.chunks.get(piece)
         if known is None:
-            data = piece.encode()
-            found = [data] if data in self.ranks else self._tree(data)
-            known = np.array([self.ranks[t] for t in found], dtype="<u4").tobytes()
+            known = self._ids(piece)
             if len(self.pieces) >= CACHE_PIECES:
                 self.pieces.clear()
             self.pieces[piece] = known
@@ -124,7 +127,9 @@ class BytePairs:
                 cache.clear()
             for chunk in chunks:
                 if chunk not in cache:
-                    cache[chunk] = b"".join(map(self._piece, self.split(chunk)))
+                    pieces = self.split(chunk)
+                    # A chunk of one piece is kept among the chunks alone.
+                    cache[chunk] = b"".join(map(self._piece, pieces)) if len(pieces) > 1 else self.pieces.pop(chunk, None) or self._ids(chunk)
             return b"".join(map(cache.__getitem__, chunks))
 
     def encode(self, text: str) -> bytes:

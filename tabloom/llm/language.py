@@ -20,6 +20,7 @@ from tabloom.llm.texts import byte_slices, kept as caches_kept
 UNKNOWN = "und"
 PLANE_BITS = 64
 HASHES = 2
+SLICE_BYTES = 1 << 19  # grams and their bounds take about 60 bytes for each byte of text
 SPACE = 32
 
 # Letters in lower case, bytes beyond ASCII as they are, all else white space.
@@ -88,6 +89,20 @@ class LanguageFilter:
         return best, np.clip(share.max(axis=1), 0.0, 1.0)
 
 
+def count_grams(batches: Iterator[pa.RecordBatch], place: dict[str, int]) -> Iterator[pa.RecordBatch]:
+    """(language's number, gram, count) for the grams of runs of rows of batches (text, language)."""
+    for batch in batches:
+        of = np.array([place[x] for x in batch.column(1).to_pylist()])
+        for first, data, starts, ends in byte_slices(batch.column(0), SLICE_BYTES):
+            found, bounds = grams(data, starts, ends)
+            lang = np.repeat(of[first : first + len(starts)], bounds[:, 1] - bounds[:, 0])
+            inside = np.zeros(len(found) + 1, dtype=np.int64)
+            np.add.at(inside, bounds[:, 0], 1)
+            np.add.at(inside, bounds[:, 1], -1)
+            keys, n = np.unique((lang.astype(np.int64) << 32) | found[np.cumsum(inside)[:-1] > 0], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys >> 32), pa.array(keys & 0xFFFFFFFF), pa.array(n.astype(np.int64))], names=["lang", "gram", "n"])
+
+
 def fit_filter(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", fit_rows: int = 10_000, grams_per_language: int = 60_000, slot_bits: int = 20) -> LanguageFilter:
     """Fit on rows where learn holds and text and language are not null.
 
@@ -108,16 +123,7 @@ def fit_filter(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_c
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         caches_kept("language", dict)  # lets go of what other operators' tasks have left in this process
-        for batch in batches:
-            of = np.array([place[x] for x in batch.column(1).to_pylist()])
-            for first, data, starts, ends in byte_slices(batch.column(0), 4 << 20):
-                found, bounds = grams(data, starts, ends)
-                lang = np.repeat(of[first : first + len(starts)], bounds[:, 1] - bounds[:, 0])
-                inside = np.zeros(len(found) + 1, dtype=np.int64)
-                np.add.at(inside, bounds[:, 0], 1)
-                np.add.at(inside, bounds[:, 1], -1)
-                keys, n = np.unique((lang.astype(np.int64) << 32) | found[np.cumsum(inside)[:-1] > 0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(keys >> 32), pa.array(keys & 0xFFFFFFFF), pa.array(n.astype(np.int64))], names=["lang", "gram", "n"])
+        return count_grams(batches, place)
 
     counted = chosen.select("text", "lang").mapInArrow(count, "lang long, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     totals = Window.partitionBy("lang")
@@ -158,7 +164,7 @@ def identify(docs: DataFrame, fitted: LanguageFilter, *, text_col: str = "text",
         for batch in batches:
             languages, scores = [], [np.empty(0)]
             lettered = batch.column(1).to_numpy(zero_copy_only=False)
-            for first, data, starts, ends in byte_slices(batch.column(0)):
+            for first, data, starts, ends in byte_slices(batch.column(0), SLICE_BYTES):
                 best, score = model.decide(data, starts, ends)
                 fine = lettered[first : first + len(starts)]
                 languages += [model.languages[b] if ok else UNKNOWN for b, ok in zip(best, fine)]

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import base64
 import random
+import tracemalloc
 
 import corpus_pipeline
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tabloom.llm import language
+from tabloom.llm import bpe, language
 
 
 def test_more_than_64_languages(spark):
@@ -30,3 +33,22 @@ def test_stage_without_labels_keeps_texts_with_letters(spark):
     rows = [(1, "words here", None, "s", 10), (2, None, None, "s", 0), (3, "12 !!", None, "s", 5)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     assert [r["doc_id"] for r in corpus_pipeline.known_language(spark, docs, "").collect()] == [1]
+
+
+def test_learning_takes_bounded_memory():
+    rng = random.Random(8)
+    text = [" ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(300)) for _ in range(2000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(text), pa.array(["a", "b"] * 1000)], names=["text", "lang"])
+    tracemalloc.start()
+    total = sum(sum(part.column(2).to_pylist()) for part in language.count_grams(iter([batch]), {"a": 0, "b": 1}))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert total == sum(len(t) - 1 for t in text)  # four-byte grams with a space before and after the text
+    assert most < 64 << 20
+
+
+def test_a_chunk_is_kept_once(tmp_path):
+    (tmp_path / "ranks").write_text("".join(f"{base64.b64encode(bytes([k])).decode()} {k}\n" for k in range(256)))
+    codec = bpe.BytePairs(str(tmp_path / "ranks"), r"\s?\w+|[^\s\w]+|\s+")
+    assert codec.encode("one, two one two, one") == b"".join(bytes([c, 0, 0, 0]) for c in b"one, two one two, one")
+    assert not set(codec.chunks) & set(codec.pieces) and " two" in codec.chunks and "," in codec.pieces
