@@ -90,7 +90,7 @@ class CachedTokenizer:
         met = {*filter(self.older.__contains__, missing)}  # asks for the few missing ones, not for all that are kept
         cache.update((c, self.older[c]) for c in met)
         new = missing.difference(met)
-        marked = [m.groups() for m in map(MARKED_WORD.match, new) if m]
+        marked = [m.groups() for m in map(MARKED_WORD.match, [c for c in new if not c[-1].isalnum()]) if m]
         new.difference_update(map("".join, marked))
         parts = {*chain.from_iterable(marked)}.difference(new).difference(cache)
         met = {*filter(self.older.__contains__, parts)}

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tabloom.llm import bpe, fingerprints, jaccard_join, language, licenses, main_text, mixing, shards, token_files, vectors
+from tabloom.llm import bpe, fingerprints, jaccard_join, language, licenses, main_text, mixing, shards, texts, token_files, vectors
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 ODD = [None, "", " ", "one", "A b c d", "x " * 3000, "tab\tand\x0bmore wide  two\n\nlines", "I'm they'RE <|endoftext|> 12 34!?", "\x1c!\x1d ÀÉ naïve 漢字 𝄞"]
@@ -136,6 +136,19 @@ def test_token_files_equal_the_library(docs, rows, empty):
     assert token_files.index_documents(empty, path=path).collect() == []
 
 
+def test_texts_are_cut_as_by_the_pattern(monkeypatch):
+    assert {*map(chr, range(0x110000))} & {c for c in map(chr, range(0x110000)) if c.isspace()} == {*texts.ASCII_SPACE, *texts.RARE_SPACE}
+    assert all(map(str.isascii, texts.RARE_ASCII)) and not any(map(str.isascii, texts.RARE_SPACE[len(texts.RARE_ASCII) :]))
+    rng = random.Random(9)
+    for k in range(20_000):
+        t = "".join(rng.choice("ab \n  \n\tx\r\0é\x0b\u2003" if k % 3 == 0 else "ab \n\n  é") for _ in range(rng.randrange(14)))
+        want = None if {*t} & {*texts.RARE_SPACE} else texts.CHUNK.findall(t)
+        assert texts.independent_chunks(t) == want, repr(t)
+    # Plain blanks and line breaks are cut without the pattern.
+    monkeypatch.setattr(texts, "CHUNK", None)
+    assert texts.independent_chunks(" a  b\n\n c\nd \n") == [" a", "  b", "\n\n c", "\nd", " \n"]
+
+
 def test_byte_pairs_equal_the_library(docs, rows, empty):
     tiktoken = pytest.importorskip("tiktoken")
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
