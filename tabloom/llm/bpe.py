@@ -13,7 +13,10 @@ from __future__ import annotations
 
 import base64
 import heapq
+import struct
 from collections.abc import Iterator
+from itertools import chain, compress, count, pairwise
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +27,8 @@ from tabloom.llm.texts import ASCII_SPACE, independent_chunks, kept
 
 LEAF_BYTES = 16
 LEAF_CHARS = 1 << 16
+RUN_CHARS = 1 << 18  # of short texts whose new pieces are merged together
+NEVER = (1 << 31) - 1  # beyond all ranks
 CACHE_ENTRIES, CACHE_PIECES = 250_000, 100_000  # pieces are asked for only where their chunk is new
 
 
@@ -38,22 +43,75 @@ class BytePairs:
             self.tokens[rank] = token
         # White space by Unicode's property; the library's own class has four control characters more.
         self.split = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
+        byte_ranks = [self.ranks.get(bytes([k]), -1) for k in range(256)]
+        self.byte_ranks = np.array(byte_ranks, dtype=np.int32)
+        pairs = {}
+        for token, rank in self.ranks.items():
+            for i in range(1, len(token) if len(token) <= LEAF_BYTES else 0):
+                if (a := self.ranks.get(token[:i])) is not None and (b := self.ranks.get(token[i:])) is not None:
+                    pairs[a << 32 | b] = rank
+        keys = sorted(pairs)
+        self.pairs = np.array([*keys, (1 << 63) - 1], dtype=np.int64)
+        self.pair_ranks = np.array([*map(pairs.__getitem__, keys), NEVER], dtype=np.int32)
         self.pieces: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
 
-    def _merge(self, parts: list[bytes]) -> list[bytes]:
-        """Merge the two neighbours of lowest rank, the leftmost first, until none is in the vocabulary."""
+    def _merge(self, data: bytes) -> list[bytes]:
+        """Merge the two neighbours of lowest rank, the leftmost first, until none is in the vocabulary.
+
+        Every two neighbours' rank is kept; a merge asks anew for the two it changes only.
+        """
         rank = self.ranks.get
-        while len(parts) > 1:
-            best, at = None, 0
-            for i in range(len(parts) - 1):
-                r = rank(parts[i] + parts[i + 1])
-                if r is not None and (best is None or r < best):
-                    best, at = r, i
-            if best is None:
+        cuts = [*range(len(data) + 1)]
+        ranks = [rank(data[i : i + 2], NEVER) for i in range(len(data) - 1)]
+        while (best := min(ranks, default=NEVER)) < NEVER:
+            at = ranks.index(best)
+            del cuts[at + 1], ranks[at]
+            if at:
+                ranks[at - 1] = rank(data[cuts[at - 1] : cuts[at + 1]], NEVER)
+            if at < len(ranks):
+                ranks[at] = rank(data[cuts[at] : cuts[at + 2]], NEVER)
+        return [data[a:b] for a, b in pairwise(cuts)]
+
+    def _ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each two neighbours' merge, given by their own ranks; -1 stands for no neighbour."""
+        keys = (left.astype(np.int64) << 32) | right
+        at = np.searchsorted(self.pairs, keys)
+        return np.where(self.pairs[at] == keys, self.pair_ranks[at], np.int32(NEVER))
+
+    def _merge_many(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of many pieces of at most LEAF_BYTES bytes: in a round, each piece that is not done makes one merge."""
+        sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+        filled = np.arange(sizes.max() + 1) < sizes[:, None]
+        tokens = np.full(filled.shape, -1, dtype=np.int32)
+        tokens[filled] = self.byte_ranks[np.frombuffer(b"".join(pieces), dtype=np.uint8)]
+        if tokens[filled].min() < 0:
+            raise ValueError("the vocabulary lacks a byte")
+        ranks = self._ranks_of(tokens[:, :-1], tokens[:, 1:])
+        out, rows = np.full(tokens.shape, -1, dtype="<i4"), np.arange(len(pieces))
+        while True:
+            best = ranks.argmin(axis=1)  # the leftmost of equal ones
+            rank = ranks[np.arange(len(rows)), best]
+            open_ = rank < NEVER
+            out[rows[~open_], : tokens.shape[1]] = tokens[~open_]
+            if not open_.any():
                 break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+            rows, best, rank, tokens, ranks = rows[open_], best[open_, None], rank[open_, None], tokens[open_], ranks[open_]
+            # A column less: the right one of the two goes, as does the rank between them. The last column is empty.
+            column = np.arange(tokens.shape[1] - 1)
+            np.put_along_axis(tokens, best, rank, axis=1)
+            tokens = np.take_along_axis(tokens, column + (column > best), axis=1)
+            ranks = np.take_along_axis(ranks, column[:-1] + (column[:-1] >= best), axis=1)
+            after = np.minimum(best + 1, tokens.shape[1] - 1)
+            before = np.maximum(best - 1, 0)
+            here = np.take_along_axis(tokens, best, axis=1)
+            np.put_along_axis(ranks, best, self._ranks_of(here, np.take_along_axis(tokens, after, axis=1)), axis=1)
+            left = self._ranks_of(np.take_along_axis(tokens, before, axis=1), here)
+            np.put_along_axis(ranks, before, np.where(best > 0, left, np.take_along_axis(ranks, before, axis=1)), axis=1)
+        kept_ = out >= 0
+        raw = out[kept_].tobytes()
+        ends = (4 * np.cumsum(kept_.sum(axis=1))).tolist()
+        return [raw[a:b] for a, b in pairwise([0, *ends])]
 
     def _merge_long(self, data: bytes) -> list[bytes]:
         """The same for long data: neighbours wait in a heap, spans are linked left and right."""
@@ -82,7 +140,7 @@ class BytePairs:
         return [data[i : end[i]] for i in range(n) if not gone[i]]
 
     def _plain(self, data: bytes) -> list[bytes]:
-        return self._merge([data[i : i + 1] for i in range(len(data))]) if len(data) <= 2 * LEAF_BYTES else self._merge_long(data)
+        return self._merge(data) if len(data) <= 2 * LEAF_BYTES else self._merge_long(data)
 
     def _join(self, left: list[bytes], right: list[bytes]) -> list[bytes]:
         i = j = 1
@@ -104,7 +162,7 @@ class BytePairs:
     def _ids(self, piece: str) -> bytes:
         data = piece.encode()
         found = [data] if data in self.ranks else self._tree(data)
-        return np.array([self.ranks[t] for t in found], dtype="<u4").tobytes()
+        return struct.pack(f"<{len(found)}I", *map(self.ranks.__getitem__, found))
 
     def _piece(self, piece: str) -> bytes:
         known = self.pieces.get(piece) or self.chunks.get(piece)
@@ -115,32 +173,73 @@ class BytePairs:
             self.pieces[piece] = known
         return known
 
-    def _leaf(self, text: str) -> bytes:
-        chunks = independent_chunks(text)
-        if chunks is None:
-            return b"".join(map(self._piece, self.split(text)))
-        cache = self.chunks
-        try:
-            return b"".join(map(cache.__getitem__, chunks))
-        except KeyError:
-            if len(cache) >= CACHE_ENTRIES:
-                cache.clear()
-            for chunk in chunks:
-                if chunk not in cache:
-                    pieces = self.split(chunk)
-                    # A chunk of one piece is kept among the chunks alone.
-                    cache[chunk] = b"".join(map(self._piece, pieces)) if len(pieces) > 1 else self.pieces.pop(chunk, None) or self._ids(chunk)
-            return b"".join(map(cache.__getitem__, chunks))
+    def _ids_of(self, pieces: list[str]) -> list[bytes]:
+        data = [*map(str.encode, pieces)]
+        short = [i for i, x in enumerate(data) if len(x) <= LEAF_BYTES and x not in self.ranks]
+        merged = dict(zip(short, self._merge_many([data[i] for i in short]))) if short else {}
+        return [merged.get(i) or self._ids(x) for i, x in enumerate(pieces)]
+
+    def _leaves(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text: every chunk is looked up once, the gaps are filled after all new chunks are learned."""
+        cut = [independent_chunks(t) for t in texts]
+        chunks = [*chain.from_iterable(filter(None, cut))]
+        found = [*map(self.chunks.get, chunks)]
+        if None in found:
+            gaps = [*compress(count(), map(not_, found))]  # a chunk has one id at least
+            self._learn({*map(chunks.__getitem__, gaps)})
+            for i in gaps:
+                found[i] = self.chunks[chunks[i]]
+        out, at = [], 0
+        for text, own in zip(texts, cut):
+            if own is None:
+                out.append(b"".join(map(self._piece, self.split(text))))
+            else:
+                out.append(b"".join(found[at : at + len(own)]))
+                at += len(own)
+        return out
+
+    def _learn(self, missing: set[str]) -> None:
+        """Put chunks that the cache lacks into it. A chunk of one piece is kept among the chunks alone."""
+        if len(self.chunks) + len(missing) > CACHE_ENTRIES:
+            self.chunks.clear()
+        if len(self.pieces) >= CACHE_PIECES:
+            self.pieces.clear()
+        split = dict(zip(missing, map(self.split, missing)))
+        single = [c for c, pieces in split.items() if len(pieces) == 1]
+        split = {c: pieces for c, pieces in split.items() if len(pieces) > 1}
+        met = {c: self.pieces.pop(c) for c in single if c in self.pieces}
+        new = [c for c in single if c not in met]
+        parts = [p for p in {*chain.from_iterable(split.values())}.difference(single) if p not in self.pieces and p not in self.chunks]
+        ids = self._ids_of([*new, *parts])
+        self.chunks.update(met)
+        self.chunks.update(zip(new, ids))
+        self.pieces.update(zip(parts, ids[len(new) :]))
+        for chunk, pieces in split.items():
+            self.chunks[chunk] = b"".join([self.pieces.get(p) or self.chunks[p] for p in pieces])
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        if len(text) <= LEAF_CHARS:
-            return self._leaf(text)
-        cut = _stable_cut(text, len(text) // 2)
+        cut = _stable_cut(text, len(text) // 2) if len(text) > LEAF_CHARS else None
         if cut is None:
-            return self._leaf(text)
+            return self._leaves([text])[0]
         return self.encode(text[:cut]) + self.encode(text[cut:])
 
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """encode of each text; short ones go in runs."""
+        out: list[bytes] = []
+        run: list[str] = []
+        size = 0
+        for text in texts:
+            if size + len(text) > RUN_CHARS or len(text) > LEAF_CHARS:
+                out += self._leaves(run)
+                run, size = [], 0
+            if len(text) > LEAF_CHARS:
+                out.append(self.encode(text))
+            else:
+                run.append(text)
+                size += len(text)
+        return out + self._leaves(run)
+
     def decode(self, ids: bytes) -> bytes:
         """The tokens' bytes, halves one after the other."""
         if len(ids) <= 4 * LEAF_CHARS:
@@ -180,7 +279,7 @@ def encode_documents(docs: DataFrame, *, path: str, pattern: str, id_col: str =
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
                 part = batch.slice(lo, 500)
-                ids = [codec.encode(t) if t else b"" for t in part.column(1).to_pylist()]
+                ids = codec.encode_all([t or "" for t in part.column(1).to_pylist()])
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()), pa.array([codec.decode(x) for x in ids], pa.binary())], names=["id", "ids", "decoded"])
 
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))

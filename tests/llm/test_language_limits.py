@@ -52,3 +52,34 @@ def test_a_chunk_is_kept_once(tmp_path):
     codec = bpe.BytePairs(str(tmp_path / "ranks"), r"\s?\w+|[^\s\w]+|\s+")
     assert codec.encode("one, two one two, one") == b"".join(bytes([c, 0, 0, 0]) for c in b"one, two one two, one")
     assert not set(codec.chunks) & set(codec.pieces) and " two" in codec.chunks and "," in codec.pieces
+
+
+class Counted(dict):
+    asked = 0
+
+    def get(self, key, default=None):
+        self.asked += 1
+        return super().get(key, default)
+
+
+def test_a_merge_asks_for_changed_neighbours_only(tmp_path):
+    tokens = [bytes([k]) for k in range(256)] + [b"a" * n for n in (2, 4, 8)]
+    (tmp_path / "ranks").write_text("".join(f"{base64.b64encode(t).decode()} {k}\n" for k, t in enumerate(tokens)))
+    codec = bpe.BytePairs(str(tmp_path / "ranks"), r"\s?\w+|[^\s\w]+|\s+")
+    codec.ranks = Counted(codec.ranks)
+    assert codec._plain(b"a" * 15) == [b"a" * 8, b"a" * 4, b"aa", b"a"]
+    assert codec.ranks.asked <= 14 + 2 * 11
+
+
+def test_pieces_merged_together_are_as_merged_alone(tmp_path):
+    rng = random.Random(3)
+    tokens = {bytes([k]) for k in range(256)} | {bytes(rng.choice(b"abc") for _ in range(n)) for n in (2, 2, 3, 3, 4, 5) for _ in range(12)}
+    order = sorted(tokens, key=lambda t: (len(t) > 1, rng.random()))
+    (tmp_path / "ranks").write_text("".join(f"{base64.b64encode(t).decode()} {k}\n" for k, t in enumerate(order)))
+    codec = bpe.BytePairs(str(tmp_path / "ranks"), r"\s?\w+|[^\s\w]+|\s+")
+    pieces = ["".join(rng.choice("abcd") for _ in range(rng.randrange(1, 20))) for _ in range(3000)]
+    want = [b"".join(codec.ranks[t].to_bytes(4, "little") for t in ([p.encode()] if p.encode() in codec.ranks else codec._merge_long(p.encode()))) for p in pieces]
+    assert codec._ids_of(pieces) == want
+    texts = [" ".join(rng.choices(pieces, k=rng.randrange(9))) + rng.choice(["", ",", "\x1c "]) for _ in range(400)] + ["", "ab " * 40_000]
+    alone = bpe.BytePairs(str(tmp_path / "ranks"), r"\s?\w+|[^\s\w]+|\s+")
+    assert codec.encode_all(texts) == [alone.encode(t) for t in texts]
