@@ -24,12 +24,13 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 
 from tabloom.llm.texts import ASCII_SPACE, independent_chunks, kept
+from tabloom.session import text_batches
 
 LEAF_BYTES = 16
 LEAF_CHARS = 1 << 16
 RUN_CHARS = 1 << 18  # of short texts whose new pieces are merged together
 NEVER = (1 << 31) - 1  # beyond all ranks
-CACHE_ENTRIES, CACHE_PIECES = 250_000, 100_000  # pieces are asked for only where their chunk is new
+CACHE_ENTRIES, CACHE_PIECES = 120_000, 50_000  # pieces are asked for only where their chunk is new
 
 
 class BytePairs:
@@ -272,6 +273,7 @@ def encode_documents(docs: DataFrame, *, path: str, pattern: str, id_col: str =
     path must be readable on all executors. Null counts as empty and has no ids; a special token's text is ordinary
     text; repeated rows stay; an empty table gives none; other columns are not read.
     """
+    text_batches(docs.sparkSession)
     id_type = docs.schema[id_col].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tabloom.llm.texts import byte_slices, kept as caches_kept
+from tabloom.session import text_batches
 
 UNKNOWN = "und"
 PLANE_BITS = 64
@@ -111,6 +112,7 @@ def fit_filter(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_c
     the largest share in any language; the most frequent grams_per_language of them enter the filter. Any number of
     languages; the filter has a bit for each in every slot.
     """
+    text_batches(docs.sparkSession)
     known = docs.filter(learn & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}  # one row a language
     languages = sorted(counts)
@@ -151,6 +153,7 @@ def identify(docs: DataFrame, fitted: LanguageFilter, *, text_col: str = "text",
     learned language with score 0; equal shares give the first language in name order. Repeated rows stay; an empty
     table gives none. Columns that docs has under the two new names are replaced.
     """
+    text_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(fitted)  # slots and a few numbers per language
     kept = [c for c in docs.columns if c not in (pred_col, score_col)]
     # Columns travel under numbers, so that no name can clash.
