@@ -68,3 +68,29 @@ def independent_chunks(text: str) -> list[str] | None:
     # The same, faster: a mark before each white space, but for one that follows another.
     cut = text.replace(" ", "\0 ").replace("\n", "\0\n").replace(" \0", " ").replace("\n\0", "\n").split("\0")
     return cut if cut[0] else cut[1:]
+
+
+# Of each byte: 1 for white space of ASCII_SPACE, 2 for other white space of ASCII, 3 for a byte with which the others begin.
+KINDS = np.zeros(256, dtype=np.uint8)
+KINDS[[*map(ord, ASCII_SPACE)]] = 1
+KINDS[[*map(ord, RARE_ASCII)]] = 2
+KINDS[[*{s.encode()[0] for s in RARE_SPACE if not s.isascii()}]] = 3
+
+
+def chunk_starts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """First byte of each independent chunk of adjoining texts in UTF-8, and the rows that are one chunk as a whole.
+
+    The cuts of independent_chunks, for many texts at once: texts with white space of other kinds are left whole.
+    """
+    kinds = KINDS[data]
+    white = kinds == 1
+    begin = white.copy()
+    begin[1:] &= ~white[:-1]
+    whole = []
+    for row in np.unique(np.searchsorted(starts, np.flatnonzero(kinds > 1), side="right") - 1).tolist():
+        text = data[starts[row] : ends[row]]
+        if (kinds[starts[row] : ends[row]] == 2).any() or any(map(text.tobytes().decode().__contains__, RARE_SPACE)):
+            begin[starts[row] : ends[row]] = False
+            whole.append(row)
+    begin[starts[starts < ends]] = True
+    return np.flatnonzero(begin), whole

@@ -12,18 +12,18 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import chain, compress, count
-from operator import not_
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tabloom.llm.texts import ASCII_SPACE, independent_chunks, kept
-from tabloom.session import new_folder, shuffle_partitions
+from tabloom.llm.texts import ASCII_SPACE, byte_slices, chunk_starts, kept
+from tabloom.session import new_folder, shuffle_partitions, text_batches
 
 CACHE_ENTRIES = 600_000
 RUN_CHUNKS = 64
+RUN_BYTES = 4 << 20
 MARKED_WORD = re.compile(r"([ \n\t\r]*\w*[^\W_])([^\w\s]+)\Z")
 WRITE_OPTIONS = {
     "compression": "zstd",
@@ -39,7 +39,7 @@ WRITE_OPTIONS = {
 class CachedTokenizer:
     """A tokenizer of the tokenizers library that meets frequent chunks of text once.
 
-    Chunks are encoded apart, which gives the same ids as the whole text (see independent_chunks); a text that can't be
+    Chunks are encoded apart, which gives the same ids as the whole text (see chunk_starts); a text that can't be
     cut this way is encoded whole. The cache has two generations of CACHE_ENTRIES chunks: its memory is bounded, and
     chunks in use outlive those met once.
     """
@@ -98,24 +98,34 @@ class CachedTokenizer:
         cache.update(self._encode_chunks([*new, *parts.difference(met)]))
         cache.update((word + marks, cache[word] + cache[marks]) for word, marks in marked)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text: every chunk is looked up once, the gaps are filled after all new chunks are learned."""
-        cut = [independent_chunks(t) for t in texts]
-        chunks = [*chain.from_iterable(filter(None, cut))]
+    def _ids_of(self, chunks: list[str], apart: set[str]) -> list[bytes]:
+        """Ids of different chunks; those that the caches lack are learned first, but for apart, encoded one by one and not kept."""
         found = [*map(self.cache.get, chunks)]
-        if None in found:
-            gaps = [*compress(count(), map(not_, found))]  # a chunk has one id at least
-            self._learn({*map(chunks.__getitem__, gaps)})
-            for i in gaps:
-                found[i] = self.cache[chunks[i]]
-        out, at = [], 0
-        for text, own in zip(texts, cut):
-            if own is None:
-                out.append(self._encode([text])[0])
-            else:
-                out.append(b"".join(found[at : at + len(own)]))
-                at += len(own)
-        return out
+        gaps = [k for k, ids in enumerate(found) if ids is None]
+        missing = [*map(chunks.__getitem__, gaps)]
+        self._learn({*missing}.difference(apart))
+        for k, ids in zip(gaps, map(self.cache.get, missing)):
+            found[k] = ids or self._encode([chunks[k]])[0]
+        return found
+
+    def encode(self, column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(ids, number of ids of each row) for runs of rows of a column of texts.
+
+        A run's different chunks are told apart by Arrow and looked up once; its ids are gathered by their numbers.
+        """
+        for _, data, starts, ends in byte_slices(column, RUN_BYTES):
+            first, whole = chunk_starts(data, starts, ends)
+            bounds = np.append(first, len(data)).astype(np.int32)
+            coded = pa.Array.from_buffers(pa.string(), len(first), [None, pa.py_buffer(bounds), pa.py_buffer(data)]).dictionary_encode()
+            apart = {data[starts[row] : ends[row]].tobytes().decode() for row in whole}
+            found = self._ids_of(coded.dictionary.to_numpy(zero_copy_only=False).tolist(), apart)
+            known = np.frombuffer(b"".join(found), dtype="<i4")
+            sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+            number = coded.indices.to_numpy()
+            own = sizes[number]
+            upto = np.concatenate([[0], np.cumsum(own)])
+            ids = known[np.repeat((np.cumsum(sizes) - sizes)[number] - upto[:-1], own) + np.arange(upto[-1])]
+            yield ids, upto[np.searchsorted(first, ends)] - upto[np.searchsorted(first, starts)]
 
 
 def tokenizer(path: str) -> CachedTokenizer:
@@ -129,17 +139,18 @@ def write_tokens(docs: DataFrame, target: str, *, path: str, end_id: int = 0, id
     equal ids are ordered by a hash of their texts; null ids come first. No rows give a folder with the schema.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
+    text_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, end = tokenizer(path), np.array([end_id], dtype="<i4").tobytes()
+        codec = tokenizer(path)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 100):
-                part = batch.slice(lo, 100)
-                ids = [x + end for x in codec.encode([t or "" for t in part.column(1).to_pylist()])]
-                counts = np.array([len(x) // 4 for x in ids], dtype=np.int32)
+            row = 0
+            for ids, sizes in codec.encode(batch.column(1)):
+                values = np.insert(ids, np.cumsum(sizes), end_id)
+                counts = (sizes + 1).astype(np.int32)
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                values = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts), pa.ListArray.from_arrays(pa.array(offsets), values)], names=["doc_id", "n_tokens", "ids"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(counts)), pa.array(counts), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], names=["doc_id", "n_tokens", "ids"])
+                row += len(counts)
 
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     source = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))

@@ -9,6 +9,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -136,6 +137,40 @@ def test_token_files_equal_the_library(docs, rows, empty):
     assert token_files.index_documents(empty, path=path).collect() == []
 
 
+def test_a_run_of_texts_asks_for_each_chunk_once(monkeypatch):
+    tokenizers = pytest.importorskip("tokenizers")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    whole, codec, asked = tokenizers.Tokenizer.from_file(path), token_files.CachedTokenizer(path), []
+    whole.encode_special_tokens = True
+    monkeypatch.setattr(token_files, "RUN_BYTES", 4000)
+    own = codec._ids_of
+    codec._ids_of = lambda chunks, apart: asked.append(chunks) or own(chunks, apart)
+    rng = random.Random(4)
+    rows = ["".join(rng.choice(["the", " tale", "  of\n", "\t\tx", " é,", "\r\n", "\0", " “a”.", "<|endoftext|>", "\u2003b" if k % 9 == 0 else "b"]) for _ in range(rng.randrange(60))) for k in range(300)]
+    rows[7:9] = [None, ""]
+    for column in (pa.array(rows), pa.array(["x", *rows], pa.large_string()).slice(1)):
+        at = 0
+        for ids, sizes in codec.encode(column):
+            for own_ids in np.split(ids, np.cumsum(sizes))[:-1]:
+                assert own_ids.tolist() == whole.encode(rows[at] or "", add_special_tokens=False).ids, repr(rows[at])
+                at += 1
+        assert at == len(rows)
+    assert len(asked) > 2 and all(len({*chunks}) == len(chunks) for chunks in asked)
+    assert [*codec.encode(pa.array([], pa.string()))] == [] and [(i.tolist(), n.tolist()) for i, n in codec.encode(pa.array(["", None]))] == [([], [0, 0])]
+
+
+def test_texts_in_bytes_are_cut_alike():
+    rng = random.Random(5)
+    rows = ["".join(rng.choice("ab \n  \n\tx\r\0é\x0b\u2003“" if k % 3 == 0 else "ab \n\n\t  é“") for _ in range(rng.randrange(14))) for k in range(5000)]
+    for first, data, starts, ends in texts.byte_slices(pa.array(rows), 3000):
+        begin, whole = texts.chunk_starts(data, starts, ends)
+        for k, (lo, hi) in enumerate(zip(starts, ends)):
+            cuts = [*begin[(begin >= lo) & (begin < hi)], hi]
+            want = texts.independent_chunks(rows[first + k])
+            assert (want is None) == (k in whole)
+            assert [data[a:b].tobytes().decode() for a, b in zip(cuts, cuts[1:])] == ([rows[first + k]] if want is None else want)
+
+
 def test_texts_are_cut_as_by_the_pattern(monkeypatch):
     assert {*map(chr, range(0x110000))} & {c for c in map(chr, range(0x110000)) if c.isspace()} == {*texts.ASCII_SPACE, *texts.RARE_SPACE}
     assert all(map(str.isascii, texts.RARE_ASCII)) and not any(map(str.isascii, texts.RARE_SPACE[len(texts.RARE_ASCII) :]))
