@@ -163,3 +163,29 @@ def test_queries_visit_few_cells_of_clustered_points(spark, monkeypatch, rows):
         for r in found:
             got[r["id"], r["rank"] - 1] = r["distance"]
         assert np.allclose(got, want)
+
+
+def test_queries_are_sent_to_blocks_and_not_to_each_cell(spark, monkeypatch):
+    """Points without clusters: nearly all cells are open, and a query still travels a few times only."""
+    rng = np.random.default_rng(3)
+    n = 1200
+    x = rng.normal(size=(n, 12)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<float>")
+    sent, met = [], nb._met
+
+    def counted(*args):
+        blocks = met(*args)
+        sent.append((blocks[0].count(), blocks[1].count(), blocks[0].schema["_qv"].dataType.simpleString()))
+        return blocks
+
+    monkeypatch.setattr(nb, "_met", counted)
+    found = nb.nearest(df, df, k=5, query_id="id", point_id="id", query_vector="v", skip_same_id=True, block_rows=64).toPandas().sort_values(["id", "rank"])
+    assert sent[0][0] < 2 * n and max(max(s[:2]) for s in sent) <= 14 * n and {s[2] for s in sent} == {"array<float>"}
+    dist = np.sqrt(((x[:, None].astype(float) - x[None]) ** 2).sum(axis=2))
+    np.fill_diagonal(dist, np.inf)
+    assert (found["neighbour"].to_numpy().reshape(n, 5) == np.argsort(dist, axis=1, kind="stable")[:, :5]).all()
+
+
+def test_chains_of_many_parts_keep_groups():
+    u, v = nb._joined_chains(np.array([5, 1, 9, 7, 3]), np.array([1, 3, 7, 9, 3]))
+    assert [*zip(u.tolist(), v.tolist())] == [(1, 3), (3, 5), (7, 9)]
