@@ -115,3 +115,17 @@ def test_odd_tables(spark, data):
     assert not empty.trees
     flat = fit_boosted(table.withColumn("y", F.lit(1.0)), Boosting(rounds=2, max_depth=2, rate=0.3), classes=3, label_col="y")
     assert {r["prediction"] for r in flat.transform(table).select("prediction").collect()} == {1.0}
+
+
+def test_right_children_follow_from_parents_and_left_ones():
+    """A level asks for the sums of left children alone; all nodes' sums are the same as by counting them."""
+    rng = np.random.default_rng(2)
+    n, starts = 400, np.array([0, 4, 9])
+    bins = np.column_stack([rng.integers(0, 4, n), rng.integers(0, 5, n)]).astype(np.uint8)
+    block = boosting.Block(np.arange(n, dtype=np.uint64), bins, rng.integers(0, 3, n).astype(float), rng.normal(size=(n, 3)))
+    trees = boosting.Trees.empty(3, 2)
+    trees.feature[:, 0], trees.bin[:, 0] = [0, 1, -1], [1, 2, 0]
+    top, below = (boosting.level_sums(block, trees, level, starts, 0.9, 7) for level in (0, 1))
+    left = boosting.level_sums(block, trees, 1, starts, 0.9, 7, left=True)
+    assert left.shape == (2, 3, 1, 9)
+    assert np.allclose(boosting.both_children(top, left, trees.feature[:, :1] >= 0), below)
