@@ -70,3 +70,18 @@ def test_rows_scored_in_parts_and_without_any(data, monkeypatch):
     monkeypatch.setattr(forest, "WHOLE_BYTES", 250 * 8 * 3)
     assert told() == whole and len(whole) == 600
     assert model.transform(data.limit(0)).count() == 0
+
+
+def test_missing_labels_are_refused(data, monkeypatch):
+    monkeypatch.setattr(models, "SPARK_TREE_ROWS", 0)
+    holes = data.withColumn("r", F.when(F.col("row_id") > 5, F.col("r")))
+    with pytest.raises(Exception):
+        model_spec("random_forest_regression", REGRESSORS).train(holes, Training(label_col="r"), trees=3)
+
+
+def test_a_forest_that_was_saved_grows_no_trees_again(data, monkeypatch, tmp_path):
+    monkeypatch.setattr(models, "SPARK_TREE_ROWS", 0)
+    model = model_spec("random_forest", JOB_CLASSIFIERS).train(data, CONTEXT, trees=3)
+    assert model.path is None
+    PipelineModel([model]).write().save(f"{tmp_path}/model")
+    assert model.path and model.transform(data).count() == 600
