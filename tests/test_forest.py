@@ -85,3 +85,10 @@ def test_a_forest_that_was_saved_grows_no_trees_again(data, monkeypatch, tmp_pat
     assert model.path is None
     PipelineModel([model]).write().save(f"{tmp_path}/model")
     assert model.path and model.transform(data).count() == 600
+
+
+def test_features_of_a_node_are_drawn_in_parts(monkeypatch):
+    whole = forest._chosen(np.random.default_rng(1), 50, 30, 6)
+    monkeypatch.setattr(forest, "DRAWN_VALUES", 100)
+    assert (forest._chosen(np.random.default_rng(1), 50, 30, 6) == whole).all()
+    assert whole.shape == (50, 6) and (np.diff(whole, axis=1) > 0).all() and whole.max() < 30
